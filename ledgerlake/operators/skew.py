@@ -1,0 +1,53 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_HEAVY_KEYS = 64
+TRACKED_KEYS = 4096
+SALTS = 64
+
+
+def heavy_keys(df: DataFrame, key: str) -> list[str]:
+    """Keys frequent enough to unbalance a shuffle on `key`; at most `MAX_HEAVY_KEYS`.
+
+    A mergeable frequent-items sketch in one pass over one column. It can only name keys
+    above its error bound (rows / tracked keys, roughly), so evenly spread data yields none.
+    Every key it names occurs in `df`.
+    """
+    found = (
+        df.where(F.col(key).isNotNull())
+        .agg(F.expr(f"approx_top_k({key}, {MAX_HEAVY_KEYS}, {TRACKED_KEYS})").alias("top"))
+        .select(F.inline("top"))
+    )
+    return [row["item"] for row in found.collect()]
+
+
+def left_join_to_skewed(left: DataFrame, right: DataFrame, key: str,
+                        heavy: list[str] | None = None) -> DataFrame:
+    """`left LEFT JOIN right USING (key)` where `right` may hold hot keys.
+
+    Adaptive execution cannot split the right side of a left join, so hot keys are salted
+    here: their right rows are spread over `SALTS` buckets and the few matching left rows
+    repeated once per bucket. A hot key has right rows by definition, so the unmatched
+    copies that empty buckets leave behind are dropped and the result is exact.
+
+    `heavy` must be keys that occur in `right`; by default they are looked up.
+    """
+    right = right.where(F.col(key).isNotNull())
+    if heavy is None:
+        heavy = heavy_keys(right, key)
+    if not heavy:
+        return left.join(right, key, "left")
+    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
+    others = [F.col(c) for c in right.columns if c != key]
+    spread = F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int")
+    right_salted = right.withColumns({
+        "_salt": F.when(is_heavy, spread).otherwise(F.lit(0)), "_matched": F.lit(True)})
+    buckets = F.when(is_heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0)))
+    left_salted = left.withColumn("_salt", F.explode(buckets))
+    joined = left_salted.join(right_salted, [key, "_salt"], "left")
+    return joined.where(~is_heavy | F.col("_matched").isNotNull()).drop("_salt", "_matched")
