@@ -13,7 +13,7 @@ from ledgerlake.functions import finance
 from ledgerlake.functions.borrower import with_borrower
 from ledgerlake.functions.cleaning import accepted
 from ledgerlake.functions.dates import parse_date, parse_timestamp
-from ledgerlake.functions.numbers import money_digits, parse_money
+from ledgerlake.functions.numbers import money_digits, parse_money, rounded
 from ledgerlake.functions.text import clean_string, clean_strings, normalise_category
 from ledgerlake.operators import audit, batches, dedup, keys, quality, scd2
 from ledgerlake.operators import ledger as booking
@@ -422,7 +422,7 @@ def freshness(spark, folder):
     events = v.table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     at = F.lit("2024-02-01T00:00:00Z").cast("timestamp")
     newest = events.groupBy("event_type").agg(F.max("ts").alias("latest_batch_ts"))
-    hours = F.round(batches.hours_between(F.col("latest_batch_ts"), at), 2)
+    hours = rounded(batches.hours_between(F.col("latest_batch_ts"), at), 2)
     total = batches.freshness(events, at, "events", "ts")
     by_type = newest.select(
         F.col("event_type").alias("source_name"), "latest_batch_ts",

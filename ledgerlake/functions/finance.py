@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import rounded
+
 
 def _annuity(principal: Column, rate_pct: Column, months: Column) -> Column:
     """Level instalment in DOUBLE. With v = (1+r)^n it is P*r*v/(v-1)."""
@@ -21,8 +23,8 @@ def expected_emi(principal: Column, rate_pct: Column, months: Column) -> Column:
     """Instalment as the staging table defines it: an empty rate counts as zero."""
     without_interest = rate_pct.isNull() | (rate_pct == 0)
     return (
-        F.when(without_interest, F.round(_flat(principal, months), 2))
-        .otherwise(F.round(_annuity(principal, rate_pct, months), 2))
+        F.when(without_interest, rounded(_flat(principal, months), 2))
+        .otherwise(rounded(_annuity(principal, rate_pct, months), 2))
         .try_cast("decimal(18,2)")
     )
 

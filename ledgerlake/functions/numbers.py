@@ -44,3 +44,13 @@ def money_digits(text: Column) -> Column:
 def parse_money(digits: Column) -> Parsed:
     """Money from the output of `money_digits`."""
     return parse_decimal(digits, "decimal(18,2)")
+
+
+def rounded(value: Column, places: int) -> Column:
+    """Round a DOUBLE as SQL engines commonly do: scale, round half up, scale back.
+
+    Spark's own `round` works on the shortest decimal text of the value instead, and the two
+    differ where a product lands just beside a half.
+    """
+    scale = float(10 ** places)
+    return F.round(value * scale) / scale

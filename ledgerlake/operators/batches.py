@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
+
 
 def latest_batch(df: DataFrame, ts: str = "_last_updated_ts") -> DataFrame:
     """Rows of the newest batch. The maximum is a scalar subquery, so the comparison reaches
@@ -21,7 +23,7 @@ def freshness(df: DataFrame, now: Column, source_name: str, ts: str = "_last_upd
               stale_after_hours: float = 24.0) -> DataFrame:
     """One row: newest batch, its age in hours (NULL when there is none), and whether stale."""
     newest = df.agg(F.max(ts).alias("latest_batch_ts"))
-    hours = F.round(hours_between(F.col("latest_batch_ts"), now), 2)
+    hours = rounded(hours_between(F.col("latest_batch_ts"), now), 2)
     return newest.select(
         F.lit(source_name).alias("source_name"),
         "latest_batch_ts",

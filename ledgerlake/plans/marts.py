@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.finance import anomaly_reason, deviation
+from ..functions.numbers import rounded
 from ..operators.audit import latest_audit
 from ..operators.batches import hours_between
 from ..schemas import MART_DELINQUENCY, MART_OBSERVABILITY, MART_PAYMENT_ANOMALY, conform
@@ -35,9 +36,9 @@ def mart_delinquency(loan_facts: DataFrame, run_date: date, now: Column) -> Data
     return conform(by_product.withColumns({
         "product_type": F.coalesce("product_type", F.lit("unknown")),
         "run_date": F.lit(run_date),
-        "delinquency_rate_pct": F.round(rate, 2),
-        "avg_days_since_payment": F.round("_days", 1),
-        "avg_principal_delinquent": F.round("_principal", 2),
+        "delinquency_rate_pct": rounded(rate, 2),
+        "avg_days_since_payment": rounded(F.col("_days"), 1),
+        "avg_principal_delinquent": rounded(F.col("_principal"), 2),
         "_last_updated_ts": now,
     }), MART_DELINQUENCY).orderBy(F.desc("delinquency_rate_pct"))
 
@@ -57,7 +58,7 @@ def mart_payment_anomaly(payment_facts: DataFrame, now: Column,
         F.col("is_payment_anomalous") & F.col("loan_status").isNotNull()
         & (F.col("loan_balance_type") != "credit_balance"))
     return conform(picked.withColumns({
-        "deviation_pct": F.round(deviation(paid, expected) * 100.0, 2),
+        "deviation_pct": rounded(deviation(paid, expected) * 100.0, 2),
         "anomaly_reason": anomaly_reason(paid, expected, rules.anomaly_tolerance),
         "_last_updated_ts": now,
     }), MART_PAYMENT_ANOMALY).orderBy(F.desc("deviation_pct"))
@@ -119,7 +120,7 @@ def mart_observability(sources: list[SourceHealth], run_date: date, now: Column)
         for c in ("lnd_rows_rejected", "fct_rows", "dq_checks_run", "dq_checks_failed")})
     raw_rows = F.col("raw_rows_in_batch")
     accepted = raw_rows - F.col("lnd_rows_rejected")
-    rate = F.coalesce(F.round(F.try_divide(accepted * 100.0, raw_rows.cast("double")), 2),
+    rate = F.coalesce(rounded(F.try_divide(accepted * 100.0, raw_rows.cast("double")), 2),
                       F.lit(0.0))
     failed = F.col("dq_checks_failed") > 0
     return conform(counted.withColumns({
@@ -127,7 +128,7 @@ def mart_observability(sources: list[SourceHealth], run_date: date, now: Column)
         "lnd_rows_accepted": accepted,
         "acceptance_rate_pct": rate,
         "dq_breach_flag": failed,
-        "freshness_hours": F.round(hours_between(F.col("latest_batch_ts"), now), 2),
+        "freshness_hours": rounded(hours_between(F.col("latest_batch_ts"), now), 2),
         "pipeline_status": F.when(failed, "FAIL").otherwise("PASS"),
         "_last_updated_ts": now,
     }), MART_OBSERVABILITY)
