@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 from typing import NamedTuple
@@ -20,6 +21,7 @@ from ..schemas import LND_ERR_LOAN, LND_ERR_PAYMENT, LND_PAYMENT, POSITION, conf
 from ..settings import DEFAULT_RULES, LOAN_FILE_COLUMNS, PAYMENT_FILE_COLUMNS, Rules
 
 LINEAGE = ["_source_file", "_last_updated_ts"]
+Keep = Callable[[DataFrame], DataFrame]
 RAW_PAYMENT_KEY = ["payment_id", "amount", "payment_timestamp"]
 
 
@@ -36,13 +38,18 @@ class LoanLanding(NamedTuple):
     deduplicated: DataFrame
 
 
+def as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def clean_loan_batch(raw_batch: DataFrame, rejected_at: datetime,
-                     order: list[str] | None = None) -> LoanLanding:
+                     order: list[str] | None = None, keep: Keep = as_is) -> LoanLanding:
     """Last occurrence per loan id, then cleaning: a broken last row hides a good earlier
-    one. `order` names the columns that say what came later."""
+    one. `order` names the columns that say what came later; `keep` may write the judged
+    rows down, as accepted and rejected rows are both taken from them."""
     order = order or [POSITION]
     latest = last_per_key(raw_batch, "loan_id", F.struct(*order))
-    classified = classify_loans(latest)
+    classified = keep(classify_loans(latest))
     incoming = with_loan_hash(accepted(classified, [*LINEAGE, *order]))
     stamp = F.lit(rejected_at).cast("timestamp")
     errors = rejected(classified, [*LOAN_FILE_COLUMNS, *LINEAGE], stamp)
@@ -73,13 +80,13 @@ class PaymentLanding(NamedTuple):
 
 
 def clean_payment_batch(raw_batch: DataFrame, ledger: DataFrame, rejected_at: datetime,
-                        order: list[str] | None = None) -> PaymentLanding:
+                        order: list[str] | None = None, keep: Keep = as_is) -> PaymentLanding:
     """First occurrence per raw key, cleaning, first occurrence per typed key, then only what
     the ledger does not hold yet."""
     order = order or [POSITION]
     place = F.struct(*order)
     distinct = first_per_key(raw_batch, RAW_PAYMENT_KEY, place)
-    classified = classify_payments(distinct)
+    classified = keep(classify_payments(distinct))
     clean = first_per_key(accepted(classified, [*LINEAGE, *order]), list(LEDGER_KEY), place)
     stamp = F.lit(rejected_at).cast("timestamp")
     errors = rejected(classified, [*PAYMENT_FILE_COLUMNS, *LINEAGE], stamp)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..schemas import POSITION, TABLES, UNIQUE_KEYS, conform, required_columns_filled
+from ..schemas import TABLES, UNIQUE_KEYS, conform, required_columns_filled
 
 BATCH = "_last_updated_ts"
 # Appended tables are laid out by batch so that one batch is one partition.
-PARTITIONED = {"raw_loan": (BATCH,), "raw_payment": (BATCH,)}
+PARTITIONED = {t: (BATCH,) for t in ("raw_loan", "raw_payment", "lnd_err_loan", "lnd_err_payment")}
 VERSIONED = ("lnd_loan",)
 
 
@@ -41,7 +42,8 @@ class Lake:
     def create(self) -> None:
         """Create every missing database and table; existing ones are left alone."""
         for layer in TABLES:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace(layer)}")
+            space = self.namespace(layer)
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {space} LOCATION '{self.root}/{space}'")
         for table, layer in self.layer_of.items():
             self._create_table(table, layer)
 
@@ -56,9 +58,16 @@ class Lake:
         folder = self.location(table) + ("/v=0" if table in VERSIONED else "")
         self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet {by} "
                        f"LOCATION '{folder}'")
-        if parts:
+        if parts and self._has_files(folder):
             self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
 
+    def _has_files(self, folder: str) -> bool:
+        try:
+            self.spark.read.schema("x int").parquet(folder)
+        except AnalysisException:
+            return False
+        return True
+
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
 
@@ -66,14 +75,25 @@ class Lake:
         """The table in its declared column order."""
         return self.spark.table(self.name(table)).select(*self.schema(table).names)
 
+    def read_if_exists(self, table: str) -> DataFrame | None:
+        return self.read(table) if self.exists(table) else None
+
     def append(self, table: str, df: DataFrame) -> None:
         self._ready(table, df).write.mode("append").insertInto(self.name(table))
 
-    def append_batch(self, table: str, df: DataFrame) -> None:
-        """Append one batch to a table laid out by batch. Running the same batch again
-        replaces its own partition, so a retry after a failure leaves no copies."""
-        (self._ready(table, df).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").insertInto(self.name(table), overwrite=True))
+    def append_batch(self, table: str, df: DataFrame, batch_ts: datetime) -> None:
+        """Append one batch to a table laid out by batch. Only the batch's own partition is
+        written, and replaced if it is there: a retry after a failure leaves no copies."""
+        ready = self._ready(table, df).drop(BATCH)
+        view = f"batch_{uuid.uuid4().hex}"
+        ready.createOrReplaceTempView(view)
+        session = ready.sparkSession
+        try:
+            session.sql(f"INSERT OVERWRITE TABLE {self.name(table)} "
+                        f"PARTITION ({BATCH} = TIMESTAMP '{batch_ts:%Y-%m-%d %H:%M:%S.%f}') "
+                        f"SELECT * FROM {view}")
+        finally:
+            session.catalog.dropTempView(view)
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Full refresh. `df` must not read the table it replaces."""
@@ -82,8 +102,8 @@ class Lake:
     def switch(self, table: str, df: DataFrame, batch_ts: datetime) -> None:
         """New version of a table derived from itself: written beside the old one, then made
         current by changing the location, so readers never see a half-written table."""
-        folder = f"{self.location(table)}/v={batch_ts:%Y%m%dT%H%M%S%f}"
-        self._ready(table, df).write.mode("overwrite").parquet(folder)
+        folder = f"{self.location(table)}/v={batch_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+        self._ready(table, df).write.parquet(folder)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
         self.spark.catalog.refreshTable(self.name(table))
 
@@ -106,15 +126,3 @@ class Lake:
                 raise DuplicateKey(f"{table}: {keys} is not unique")
         parts = PARTITIONED.get(table, ())
         return checked.select(*[c for c in schema.names if c not in parts], *parts)
-
-
-def has_rows(lake: Lake, table: str) -> bool:
-    """Whether the table exists and holds anything."""
-    return lake.exists(table) and not lake.read(table).isEmpty()
-
-
-def batch_rows(lake: Lake, table: str, batch_ts: datetime) -> DataFrame:
-    return lake.read(table).where(F.col(BATCH) == F.lit(batch_ts).cast("timestamp"))
-
-
-__all__ = ["Lake", "DuplicateKey", "has_rows", "batch_rows", "POSITION"]
