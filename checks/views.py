@@ -25,6 +25,7 @@ from ledgerlake.operators.scd2 import open_rows
 from ledgerlake.session import materialise
 from ledgerlake.schemas import LND_LOAN, LND_PAYMENT, conform
 from ledgerlake.settings import LOAN_FILE_COLUMNS, PAYMENT_FILE_COLUMNS
+from ledgerlake.sources.files import spread_small
 
 AS_OF = date(2001, 11, 5)
 BATCH_TS = datetime(2001, 11, 5, 6, 0, 0)
@@ -36,7 +37,8 @@ PAYMENT_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_ship
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spread_small(spark.read.parquet(path), path)
 
 
 def order_of(columns: list[str]) -> Column:
@@ -82,10 +84,10 @@ def loan_file(spark: SparkSession, folder: str) -> DataFrame:
         F.when(k % 193 == 12, "someday").when(k % 199 == 14, "").when(k % 197 == 15, "2023-02-30")
         .when(k % 191 == 16, F.date_format(day, "MMMM d, yyyy"))
         .when(k % 181 == 17, F.date_format(day, "dd/MM/yyyy"))
-        .when(k % 4 == 0, F.date_format(day, "yyyy-MM-dd"))
+        .when(k % 4 == 0, day.cast("string"))
         .when(k % 4 == 1, F.date_format(day, "dd-MMM-yyyy"))
         .when(k % 4 == 2, F.date_format(day, "MM/dd/yyyy"))
-        .otherwise(F.date_format(day, "yyyyMMdd")))
+        .otherwise(F.replace(day.cast("string"), F.lit("-"), F.lit(""))))
     channel = (
         F.when(prio == "1-URGENT", "Online").when(prio == "2-HIGH", "BRANCH ")
         .when(prio == "3-MEDIUM", "partner").when(prio == "5-LOW", "fax").otherwise("\tMobile"))
@@ -180,7 +182,7 @@ def payment_file(spark: SparkSession, folder: str) -> DataFrame:
         F.when(part % 211 == 3, F.concat(F.lit("-"), amount)).when(part % 223 == 4, "abc")
         .when(part % 227 == 5, "").when(again & (supp % 2 == 0), F.concat(amount, F.lit("0")))
         .otherwise(amount))
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    day = F.to_date("l_shipdate").cast("string")
     instant = (
         F.when(supp % 97 == 6, "yesterday").when(supp % 83 == 9, "")
         .when(line == 1, F.concat(day, F.when(again & (supp % 3 == 0), "T05:00:00-05:00")
@@ -190,7 +192,7 @@ def payment_file(spark: SparkSession, folder: str) -> DataFrame:
         .when(line == 4, F.concat(day, F.lit("T08:05:09")))
         .when(line == 5, day)
         .when(line == 6, F.concat(day, F.lit("T12:00:00.250Z")))
-        .otherwise(F.concat(F.date_format("l_shipdate", "yyyyMMdd"), F.lit("T101010Z"))))
+        .otherwise(F.concat(F.replace(day, F.lit("-"), F.lit("")), F.lit("T101010Z"))))
     loan = (
         F.when(k % 103 == 8, F.lit(None).cast("string"))
         .when(k % 101 == 7, F.concat(F.lit("L"), _padded(k + 500_000_000_000, 12)))
