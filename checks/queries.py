@@ -326,13 +326,11 @@ def raw_audit_payment(spark, folder):
 
 @query
 def latest_audit(spark, folder):
-    """Latest of two audit rows per source: the batch, and its first copies alone before it."""
-    earlier_loans = audit.audit_row(
-        audit.loan_duplicates(v.loans_raw(spark, folder).where("_copy = 0")), v.EARLIER_TS,
-        "loans.csv", "raw_loan")
-    earlier_payments = audit.audit_row(
-        audit.payment_duplicates(v.payments_raw(spark, folder).where("_copy = 0")), v.EARLIER_TS,
-        "payments.jsonl", "raw_payment")
+    """Latest of two audit rows per source: the batch, and an earlier one of an empty file."""
+    earlier_loans = audit.audit_row(audit.loan_duplicates(v.loans_raw(spark, folder)),
+                                    v.EARLIER_TS, "loans.csv", "raw_loan", F.lit(0))
+    earlier_payments = audit.audit_row(audit.payment_duplicates(v.payments_raw(spark, folder)),
+                                       v.EARLIER_TS, "payments.jsonl", "raw_payment", F.lit(0))
     history = (earlier_loans.unionByName(_loan_audit(spark, folder))
                .unionByName(earlier_payments).unionByName(_payment_audit(spark, folder)))
     return plain(audit.latest_audit(history))

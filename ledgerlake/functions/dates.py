@@ -32,15 +32,18 @@ ISO_DATE_WITH_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
 
 # ISO-8601 shape -> the same instant written in full ($0 is the whole text).
 INSTANT_NOTATIONS = (
-    (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})$", "$0"),
-    (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$", "$0Z"),
+    (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$", "$0"),
+    (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?$", "$0Z"),
     (r"^\d{4}-\d{2}-\d{2}$", "$0T00:00:00Z"),
-    (r"^(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2}(?:\.\d+)?)Z$", "$1-$2-$3T$4:$5:$6Z"),
-    (r"^(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2}(?:\.\d+)?)$", "$1-$2-$3T$4:$5:$6Z"),
+    (r"^(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2}(?:\.\d+)?)Z?$", "$1-$2-$3T$4:$5:$6Z"),
     (r"^(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2}(?:\.\d+)?)([+-]\d{2}):?(\d{2})$",
      "$1-$2-$3T$4:$5:$6$7:$8"),
-    (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?[+-]\d{2})(\d{2})$", "$1:$2"),
-    (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?[+-]\d{2}$", "$0:00"),
+    (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?[+-]\d{2})(\d{2})$", "$1:$2"),
+    (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?[+-]\d{2}$", "$0:00"),
+    (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}$", "$0:00Z"),
+    (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:\d{2})$", "$1:00$2"),
+    (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})([+-]\d{2})(\d{2})$", "$1:00$2:$3"),
+    (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})([+-]\d{2})$", "$1:00$2:00"),
     (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3T00:00:00Z"),
     (r"^\d{4}-\d{2}$", "$0-01T00:00:00Z"),
     (r"^\d{4}$", "$0-01-01T00:00:00Z"),
