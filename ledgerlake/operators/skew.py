@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 MAX_HEAVY_KEYS = 64
 TRACKED_KEYS = 4096
+HEAVY_SHARE = 0.005
 SALTS = 64
 
 
 def heavy_keys(df: DataFrame, key: str) -> list[str]:
     """Keys frequent enough to unbalance a shuffle on `key`; at most `MAX_HEAVY_KEYS`.
 
-    A mergeable frequent-items sketch in one pass over one column. It can only name keys
-    above its error bound (rows / tracked keys, roughly), so evenly spread data yields none.
-    Every key it names occurs in `df`.
+    A mergeable frequent-items sketch in one pass over one column; keys with less than
+    `HEAVY_SHARE` of the rows are left to the plain join. Every key it names occurs in `df`.
     """
-    found = (
-        df.where(F.col(key).isNotNull())
-        .agg(F.expr(f"approx_top_k({key}, {MAX_HEAVY_KEYS}, {TRACKED_KEYS})").alias("top"))
-        .select(F.inline("top"))
-    )
+    counted = df.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k({key}, {MAX_HEAVY_KEYS}, {TRACKED_KEYS})").alias("top"),
+        F.count("*").alias("total"))
+    found = counted.select("total", F.inline("top")).where(
+        F.col("count") >= F.col("total") * F.lit(HEAVY_SHARE))
     return [row["item"] for row in found.collect()]
 
 
