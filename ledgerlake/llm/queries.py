@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import token_files
+from ledgerlake.llm import jaccard_join, token_files
 from ledgerlake.llm.common import table
 from ledgerlake.session import checkpoint_folder, configure
 
@@ -37,3 +38,10 @@ def op1_token_files(spark, folder):
     token_files.write_tokens(table(spark, folder, "documents"), target,
                              public_tokenizers.path("byte_bpe_50k.json"), END_ID)
     return token_files.token_digests(spark, target)
+
+
+@query
+def op7_jaccard_join(spark, folder):
+    """Classes of documents linked by the similarity of their five-word shingles."""
+    rows = jaccard_join.with_component(table(spark, folder, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
