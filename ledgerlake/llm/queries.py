@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import jaccard_join, token_files
+from ledgerlake.llm import decontaminate, jaccard_join, mixing, token_files
 from ledgerlake.llm.common import table
 from ledgerlake.session import checkpoint_folder, configure
 
@@ -40,6 +40,22 @@ def op1_token_files(spark, folder):
     return token_files.token_digests(spark, target)
 
 
+@query
+def op2_decontamination(spark, folder):
+    """Words of `documents` that lie in windows of `benchmark` items."""
+    rows = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op6_source_mix(spark, folder):
+    """What the mix of all sources takes of every document."""
+    rows = mixing.take(table(spark, folder, "documents"))
+    return rows.select("doc_id", *[F.col(f"_mix.{c}").alias(c) for c in ("size", "source_size", "target", "taken")])
+
+
 @query
 def op7_jaccard_join(spark, folder):
     """Classes of documents linked by the similarity of their five-word shingles."""
