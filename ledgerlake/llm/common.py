@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +49,11 @@ def crc_bucket(doc_id: Column, buckets: int) -> Column:
 def ascii_lower(text: Column) -> Column:
     """`text` with A-Z, and no other letters, in lower case."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def per_process(name: tuple, make: Callable):
+    """make(), kept by this Python worker for its later tasks. `name` tells contents apart."""
+    kept = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
+    if name not in kept.__dict__.setdefault("objects", {}):
+        kept.objects[name] = make()
+    return kept.objects[name]

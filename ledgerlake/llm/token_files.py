@@ -21,8 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,26 +32,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import text_batches
+from ledgerlake.llm.common import per_process, text_batches
 
 # The dictionary is trained on at most this many documents' first characters; a bounded sample
 # is enough, as it only changes the compression.
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, DICTIONARY_BYTES = 400, 4000, 32768
 BLOCK_BYTES, BLOCK_DOCUMENTS = 1 << 20, 2000
-MEMO_BYTES = 40 << 20
-# White space as the tokenizer's own pattern sees it. A run of other characters, with one space
-# before it, is always a whole number of the tokenizer's words, so its ids don't depend on the
-# text around it and can be remembered.
-SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-
+MEMO_BYTES = 96 << 20
 BLOCK_SCHEMA = ("part int, block int, doc_ids array<long>, n_tokens array<long>, "
                 "starts array<long>, offsets array<long>, dictionary string, width int, "
                 "payload binary")
 
 
-class Encoder:
-    """Whole texts to serialized ids by the tokenizers library, remembering recent chunks."""
+class Encoder(dict):
+    """Whole texts to serialized ids by the tokenizers library, remembering recent words.
+
+    The tokenizer's pattern never joins a character with white space after it, and gives a
+    single space to what follows it. A run of other characters with the one space or line feed
+    before it is therefore encoded the same way in any text; so are letters and the punctuation
+    that ends such a run. Texts with longer white space are encoded in one piece.
+
+    Keys are such runs without their space, or with their line feed. A key that is no whole run
+    has no value, which sends its text to the tokenizer.
+    """
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,31 +63,64 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.recent: dict[str, bytes] = {}
+        self.kind = {2: "H", 4: "I"}[self.width]
+        self.end = self.packed([end_id])
+        # The byte-level alphabet: printable Latin-1 characters stand for themselves, the other
+        # bytes for the characters from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = sorted(set(range(256)).difference(plain))
+        self.alphabet = dict(zip(plain, map(chr, plain))) | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}  # up to three of six marks, or a line feed
         self.held = 0
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [CHUNK.findall(x) for x in texts]
-        todo = set()
-        for chunk in set().union(*chunks).difference(self.recent):
-            known = self.older.get(chunk)
-            if known is None:
-                todo.add(chunk)
+    def packed(self, ids: list[int]) -> bytes:
+        values = array(self.kind, ids)
+        if sys.byteorder == "big":
+            values.byteswap()
+        return values.tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, word: str) -> bytes:
+        """Of letters, with or without a space before them: the pattern never splits these."""
+        spelt = word.encode().decode("latin-1").translate(self.alphabet)
+        return self.packed([t.id for t in self.tokenizer.model.tokenize(spelt)])
+
+    def __missing__(self, key: str) -> bytes | None:
+        value = self.older.get(key)
+        if value is None:
+            word = key.rstrip(",.;:!?")
+            if key == "" or key == "\n" or key[:2].isspace() or (key[0].isspace() and key[0] != "\n"):
+                value = None
+            elif word.isalpha():
+                value = self.word(" " + key) if word == key else self[word] + self.tail(key[len(word):])
+            elif word[:1] == "\n" and word[1:].isalpha():
+                value = self.tail("\n") + self.word(word[1:]) + self.tail(key[len(word):])
             else:
-                self.recent[chunk] = known
-        missing = list(todo)
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        for chunk, encoding in zip(missing, found, strict=True):
-            value = np.array(encoding.ids, self.kind).tobytes()
-            self.recent[chunk] = value
-            self.held += 2 * len(chunk) + len(value) + 150
-        out = [b"".join(map(self.recent.__getitem__, c)) + self.end for c in chunks]
+                value = self.whole(key if key[0] == "\n" else " " + key)
+        self[key] = value
+        self.held += 2 * len(key) + len(value or b"") + 150
+        return value
+
+    def tail(self, text: str) -> bytes:
+        if text not in self.tails:
+            value = self.whole(text)
+            if len(text) > 3:
+                return value
+            self.tails[text] = value
+        return self.tails[text]
+
+    def encode(self, text: str) -> bytes:
         if self.held > MEMO_BYTES:
-            self.older, self.recent, self.held = self.recent, {}, 0
-        return out
+            self.older, self.held = dict(self), 0
+            self.clear()
+        runs = ("\n" + text).replace("\n", " \n").split(" ")
+        values = list(map(self.__getitem__, runs[1:]))
+        if None in values:
+            return self.whole(text) + self.end
+        return b"".join(values)[self.width:] + self.end  # without the line feed put in front
 
 
 def trained_dictionary(samples: list[bytes]) -> bytes:
@@ -114,13 +151,15 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     rows = rows.withColumn("tie", F.xxhash64("text"))
     sample = (rows.select("tie", "id", F.substring("text", 1, SAMPLE_CHARACTERS).alias("text"))
               .orderBy(F.xxhash64("tie", "id")).limit(SAMPLE_DOCUMENTS).collect())
-    dictionary = trained_dictionary(Encoder(tokenizer_path, end_id).encode([r.text for r in sample]))
+    encoder = Encoder(tokenizer_path, end_id)
+    dictionary = trained_dictionary([encoder.encode(r.text) for r in sample])
     sha = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(sha, dictionary)], "sha256 string, bytes binary") \
         .coalesce(1).write.parquet(f"{folder}/dictionary")
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, (compressor, _) = Encoder(tokenizer_path, end_id), _codec(dictionary)
+        encoder = per_process(("encoder", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id))
+        compressor, _ = _codec(dictionary)
         part, block, tokens, size = TaskContext.get().partitionId(), 0, 0, 0
         documents: list[tuple] = []
         frames: list[bytes] = []
@@ -133,7 +172,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
                 "width": [encoder.width], "payload": [b"".join(frames)]})
 
         for batch in batches:
-            for doc_id, data in zip(batch["id"], encoder.encode(batch["text"].tolist()), strict=True):
+            for doc_id, data in zip(batch["id"], map(encoder.encode, batch["text"]), strict=True):
                 frame, count = compressor.compress(data), len(data) // encoder.width
                 documents.append((None if doc_id == "" else int(doc_id), count, tokens, size))
                 frames.append(frame)
