@@ -51,9 +51,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def per_process(name: tuple, make: Callable):
-    """make(), kept by this Python worker for its later tasks. `name` tells contents apart."""
+def per_process(name: tuple, make: Callable, most: int = 4):
+    """make(), kept by this Python worker for its later tasks; at most `most` of them at a time.
+    `name` tells contents apart."""
     kept = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
-    if name not in kept.__dict__.setdefault("objects", {}):
-        kept.objects[name] = make()
-    return kept.objects[name]
+    objects = kept.__dict__.setdefault("objects", {})
+    if name not in objects:
+        while len(objects) >= most:
+            del objects[next(iter(objects))]
+        objects[name] = make()
+    return objects[name]

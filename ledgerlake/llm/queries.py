@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontaminate, jaccard_join, mixing, token_files
-from ledgerlake.llm.common import table
+from ledgerlake.llm import decontaminate, jaccard_join, knn, language, lm_score, mixing, token_files
+from ledgerlake.llm.common import crc_bucket, table
 from ledgerlake.session import checkpoint_folder, configure
 
 END_ID = 2
+PIECES = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -49,6 +50,16 @@ def op2_decontamination(spark, folder):
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+@query
+def op4_language(spark, folder):
+    """Language of every document, learned from those outside the fold that is held out."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", "lang", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"))
+    model = language.learn(docs.where("not held_out"), public_tokenizers.path(PIECES))
+    rows = language.with_language(docs.select("doc_id", "held_out", "text"), model)
+    return rows.select("doc_id", "held_out", "_language.lang_pred", "_language.score")
+
+
 @query
 def op6_source_mix(spark, folder):
     """What the mix of all sources takes of every document."""
@@ -61,3 +72,20 @@ def op7_jaccard_join(spark, folder):
     """Classes of documents linked by the similarity of their five-word shingles."""
     rows = jaccard_join.with_component(table(spark, folder, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op8_lm_score(spark, folder):
+    """Lattice and base log10 probabilities of every document, learned outside the held-out fold."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", (crc_bucket(F.col("doc_id"), 7) != 2).alias("train"))
+    rows = lm_score.scored(docs, public_tokenizers.path(PIECES), train="train")
+    return rows.select(F.col("id").alias("doc_id"), (F.col("train") == 0).alias("held_out"), "n_tokens", "n_known",
+                       "train_tokens", "base_score", "score")
+
+
+@query
+def op10_exact_top_k(spark, folder):
+    """The five highest integer inner products of every fiftieth vector with all others."""
+    best = knn.top_k(table(spark, folder, "embeddings"), "id % 50 = 0")
+    return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
