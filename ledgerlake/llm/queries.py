@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontaminate, jaccard_join, knn, language, lm_score, mixing, token_files
+from ledgerlake.llm import (decontaminate, jaccard_join, knn, language, licences, lm_score, mixing, pages, repeats,
+                            token_files)
 from ledgerlake.llm.common import crc_bucket, table
 from ledgerlake.session import checkpoint_folder, configure
 
@@ -50,6 +51,13 @@ def op2_decontamination(spark, folder):
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+@query
+def op3_repeated_passages(spark, folder):
+    """Passages of `documents` that stand elsewhere too: first occurrences and those to remove."""
+    rows = repeats.repeated_passages(table(spark, folder, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "first_word", "n_words", F.col("kept_ids").alias("kept_doc_ids"), "removed")
+
+
 @query
 def op4_language(spark, folder):
     """Language of every document, learned from those outside the fold that is held out."""
@@ -60,6 +68,13 @@ def op4_language(spark, folder):
     return rows.select("doc_id", "held_out", "_language.lang_pred", "_language.score")
 
 
+@query
+def op5_main_text(spark, folder):
+    """Main text of every page by the consensus of its host."""
+    rows = pages.with_main_text(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "url", F.col("_main").alias("text"), F.length("_main").cast("long").alias("n_chars"))
+
+
 @query
 def op6_source_mix(spark, folder):
     """What the mix of all sources takes of every document."""
@@ -84,6 +99,13 @@ def op8_lm_score(spark, folder):
                        "train_tokens", "base_score", "score")
 
 
+@query
+def op9_licence_scan(spark, folder):
+    """Known licences that whole documents, paragraphs or lines consist of."""
+    rows = licences.scan(table(spark, folder, "documents"), licences.known_licences(spark))
+    return rows.select(F.col("id").alias("doc_id"), "licence_id", "whole", "n_texts")
+
+
 @query
 def op10_exact_top_k(spark, folder):
     """The five highest integer inner products of every fiftieth vector with all others."""
