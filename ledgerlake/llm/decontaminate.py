@@ -51,9 +51,17 @@ def fingerprint(p: Column, length: int) -> Column:
     return F.xxhash64(F.lit(length), F.slice("h", p, length))
 
 
+def positions(length: int) -> Column:
+    """Starts of all runs of `length` words. Those of whole windows are told from `g`: naming it
+    here too keeps Spark from computing it anew for every window."""
+    if length == WINDOW:
+        return runs(F.col("g"), WINDOW - GRAM + 1)
+    return runs(F.col("h"), length)
+
+
 def windows(length: int) -> Column:
     """(p, length, fingerprint, digest) of every run of `length` words."""
-    return F.transform(runs(F.col("words"), length), lambda p: F.struct(
+    return F.transform(positions(length), lambda p: F.struct(
         p.alias("p"), F.lit(length).alias("length"), fingerprint(p, length).alias("fp"),
         F.md5(F.array_join(F.slice("words", p, length), " ")).alias("digest")))
 
@@ -88,8 +96,8 @@ def text_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id
                          text_key(F.col(text_col)).alias("tkey"), F.col(text_col).alias("text"))
     own = [f"_own_{i}" for i in range(len(keep))]
     marked = prepared(source, "tkey", *own).select("tkey", *own, F.size("words").alias("n_words"), F.array_distinct(
-        F.concat(F.transform(runs(F.col("words"), WINDOW), lambda p: fingerprint(p, WINDOW)),
-                 *[F.transform(runs(F.col("words"), m), lambda p, m=m: fingerprint(p, m)) for m in short]))
+        F.concat(F.transform(positions(WINDOW), lambda p: fingerprint(p, WINDOW)),
+                 *[F.transform(positions(m), lambda p, m=m: fingerprint(p, m)) for m in short]))
         .alias("fps"))
     table = store(marked, "fingerprints")
     hit = (table.select("tkey", F.explode("fps").alias("fp")).join(marks, "fp", "left_semi")
