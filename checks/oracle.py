@@ -139,15 +139,15 @@ def instant_of(text: str) -> str:
 
 step("loans_judged", ("loans_last",), f"""
 SELECT *, CASE
-    WHEN loan_id IS NULL THEN 'loan_id=None: ValueError: loan_id is empty'
+    WHEN loan_id IS NULL THEN 'loan_id=None: loan_id is missing'
     WHEN interest_rate IS NOT NULL AND rate IS NULL
-      THEN 'loan_id=' || loan_id || ': ValueError: Cannot cast interest_rate: ''' || interest_rate || ''''
+      THEN 'loan_id=' || loan_id || ': interest_rate is no decimal: ''' || interest_rate || ''''
     WHEN term_months IS NOT NULL AND term IS NULL
-      THEN 'loan_id=' || loan_id || ': ValueError: Cannot cast term_months: ''' || term_months || ''''
+      THEN 'loan_id=' || loan_id || ': term_months is no whole number: ''' || term_months || ''''
     WHEN money IS NOT NULL AND principal IS NULL
-      THEN 'loan_id=' || loan_id || ': ValueError: Cannot parse principal_amount: ''' || principal_amount || ''''
+      THEN 'loan_id=' || loan_id || ': principal_amount is no sum of money: ''' || principal_amount || ''''
     WHEN origination_date IS NOT NULL AND originated IS NULL
-      THEN 'loan_id=' || loan_id || ': ValueError: Cannot parse date: ''' || origination_date || ''''
+      THEN 'loan_id=' || loan_id || ': origination_date is no date: ''' || origination_date || ''''
   END AS reason
 FROM (
   SELECT *, {number("interest_rate", "DECIMAL(8,4)")} AS rate,
@@ -233,13 +233,13 @@ SELECT * EXCLUDE (rn) FROM (
 
 step("payments_judged", ("payments_first",), f"""
 SELECT *, CASE
-    WHEN payment_id IS NULL THEN 'payment_id is empty'
+    WHEN payment_id IS NULL THEN 'payment_id is missing'
     WHEN amount IS NOT NULL AND paid IS NULL THEN 'payment_id=' || payment_id
-      || ': ValueError: could not convert string to float: ''' || amount || ''''
-    WHEN paid < 0 THEN 'payment_id=' || payment_id || ': ValueError: Negative amount: '''
+      || ': amount is no number: ''' || amount || ''''
+    WHEN paid < 0 THEN 'payment_id=' || payment_id || ': amount is below zero: '''
       || amount || ''''
     WHEN payment_timestamp IS NOT NULL AND paid_at IS NULL THEN 'payment_id=' || payment_id
-      || ': ValueError: Cannot parse timestamp: ''' || payment_timestamp || ''''
+      || ': payment_timestamp is no instant: ''' || payment_timestamp || ''''
   END AS reason
 FROM (SELECT *, {number("amount", "DECIMAL(18,2)")} AS paid,
         {instant_of("payment_timestamp")} AS paid_at FROM payments_first)""")
@@ -432,13 +432,13 @@ def gate(breach: str) -> str:
 def volume(run: str, table: str, total: str, source: str) -> str:
     rate = f"coalesce(CAST({total} - errors AS DOUBLE) / NULLIF({total}, 0), 0.0)"
     return check(run, table, "volume_acceptance_rate", gate(f"{rate} < 0.99"), rate, "0.99",
-                 f"{rate} < 0.99", f"({total} - errors) || '/' || {total} || ' rows accepted'", source)
+                 f"{rate} < 0.99", f"'accepted ' || ({total} - errors) || ' of ' || {total} || ' rows'", source)
 
 
 def completeness(run: str, table: str, column: str, total: str, source: str) -> str:
     rate = f"CAST(null_{column} AS DOUBLE) / {total}"
     return check(run, table, f"completeness_{column}", gate(f"{rate} > 0.10"), rate, "0.10",
-                 f"{rate} > 0.10", f"null_{column} || '/' || {total} || ' nulls in {column}'", source,
+                 f"{rate} > 0.10", f"'empty ' || null_{column} || ' of ' || {total} || ' in {column}'", source,
                  f"{total} > 0")
 
 
@@ -464,11 +464,11 @@ def loan_checks() -> str:
     run = "'dq_lnd_loan_2001-11-05'"
     rows = [volume(run, "lnd_loan", "raw_rows", "loan_measures"),
             check(run, "lnd_loan", "uniqueness_loan_id", gate("dups > 0"), "dups", "0.0", "dups > 0",
-                  "dups || ' duplicate loan_ids'", "loan_measures")]
+                  "'loan_ids held twice: ' || dups", "loan_measures")]
     rows += [completeness(run, "lnd_loan", c, "rows", "loan_measures") for c in CRITICAL]
     rows += [check(run, "lnd_loan", f"validity_{c}",
                    f"CASE WHEN invalid_{c} > 0 THEN 'WARN' ELSE 'PASS' END", f"invalid_{c}", "0.0",
-                   "FALSE", f"invalid_{c} || ' unrecognised {c} values'", "loan_measures")
+                   "FALSE", f"'outside the closed set, ' || invalid_{c} || ' {c} values'", "loan_measures")
              for c in DOMAINS]
     return " UNION ALL ".join(rows)
 
@@ -494,13 +494,13 @@ def payment_checks() -> str:
     rows = [
         volume(run, t, "raw_rows", m),
         check(run, t, "uniqueness_payment_id_amount_timestamp", gate("dups > 0"), "dups", "0.0",
-              "dups > 0", "dups || ' true duplicate (payment_id+amount+timestamp) combinations'", m),
+              "dups > 0", "'booked twice (id, amount, instant): ' || dups", m),
         check(run, t, "info_split_settlement_payment_ids", "'INFO'", "split", "0.0", "FALSE",
-              "split || ' payment_ids with multiple amounts (split settlements/fees)'", m),
+              "'ids paid in parts: ' || split", m),
         *[completeness(run, t, c, "rows", m) for c in PAYMENT_CRITICAL],
         check(run, t, "validity_payment_method_type",
               "CASE WHEN invalid > 0 THEN 'WARN' ELSE 'PASS' END", "invalid", "0.0", "FALSE",
-              "invalid || ' unrecognised payment methods'", m),
+              "'outside the closed set, ' || invalid || ' payment methods'", m),
         check(run, t, "allocation_status_summary", "'INFO'", "allocated", "rows", "FALSE", summary, m),
     ]
     return " UNION ALL ".join(rows)
@@ -562,10 +562,10 @@ SELECT {PAYMENT_ORDER}, trim(CASE WHEN l_suppkey % 79 = 2 THEN 'not valid json l
 FROM payment_file""")
 
 step("parsed_lines", ("payment_lines",), """
-SELECT *, CASE WHEN NOT json_valid(value) THEN 'JSONDecodeError'
-    WHEN json_type(value) <> 'OBJECT' THEN 'AttributeError'
+SELECT *, CASE WHEN NOT json_valid(value) THEN 'malformed JSON'
+    WHEN json_type(value) <> 'OBJECT' THEN 'wrong parent'
     WHEN json_type(value, '$.payment_method') = 'VARCHAR'
-      AND json_extract_string(value, '$.payment_method') <> '' THEN 'AttributeError'
+      AND json_extract_string(value, '$.payment_method') <> '' THEN 'wrong parent'
   END AS problem
 FROM payment_lines WHERE length(value) > 0""")
 
@@ -643,9 +643,9 @@ ORACLE["emi_strict"] = sql(f"""
 SELECT loan_id, CASE WHEN principal_amount >= 0 AND interest_rate >= 0 AND term_months > 0
     THEN {EMI} END AS expected_emi,
   CASE WHEN principal_amount IS NULL OR interest_rate IS NULL OR term_months IS NULL THEN NULL
-    WHEN principal_amount < 0 THEN 'Principal cannot be negative: ' || principal_amount
-    WHEN interest_rate < 0 THEN 'Interest rate cannot be negative: ' || interest_rate
-    WHEN term_months <= 0 THEN 'Term months must be positive: ' || term_months END AS emi_error
+    WHEN principal_amount < 0 THEN 'principal is below zero: ' || principal_amount
+    WHEN interest_rate < 0 THEN 'rate is below zero: ' || interest_rate
+    WHEN term_months <= 0 THEN 'term is not positive: ' || term_months END AS emi_error
 FROM loans_clean""", "loans_clean")
 OFF = """coalesce(abs(CAST(payment_amount AS DOUBLE) - CAST(expected_emi AS DOUBLE))
     / NULLIF(CAST(expected_emi AS DOUBLE), 0) > {}, FALSE)"""

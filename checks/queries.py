@@ -46,7 +46,7 @@ def wall(name: str) -> Column:
 
 def plain(df: DataFrame) -> DataFrame:
     """Without run stamps, instants zone-less."""
-    stamps = {"_last_updated_ts", "_rejected_at", "checked_at"}
+    stamps = {"_last_updated_ts", "_rejected_at", "_reject_kind", "checked_at"}
     return df.select(*[
         wall(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes if n not in stamps])
 

@@ -25,7 +25,6 @@ from ledgerlake.operators.scd2 import open_rows
 from ledgerlake.session import materialise
 from ledgerlake.schemas import LND_LOAN, LND_PAYMENT, conform
 from ledgerlake.settings import LOAN_FILE_COLUMNS, PAYMENT_FILE_COLUMNS
-from ledgerlake.sources.files import spread_small
 
 AS_OF = date(2001, 11, 5)
 BATCH_TS = datetime(2001, 11, 5, 6, 0, 0)
@@ -38,7 +37,7 @@ PAYMENT_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_ship
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}.parquet"
-    return spread_small(spark.read.parquet(path), path)
+    return spark.read.parquet(path)
 
 
 def order_of(columns: list[str]) -> Column:

@@ -21,7 +21,7 @@ def _first_failure(prefix: Column, rules: list[tuple[Column, Column]]) -> Column
 
 
 def _complaint(what: str, raw: Column) -> Column:
-    return F.concat(F.lit(f"ValueError: {what}: "), quoted(raw))
+    return F.concat(F.lit(f"{what}: "), quoted(raw))
 
 
 def classify_loans(raw: DataFrame) -> DataFrame:
@@ -49,15 +49,15 @@ def classify_loans(raw: DataFrame) -> DataFrame:
     reason = _first_failure(
         F.concat(F.lit("loan_id="), shown, F.lit(": ")),
         [
-            (t["loan_id"].isNull(), F.lit("ValueError: loan_id is empty")),
+            (t["loan_id"].isNull(), F.lit("loan_id is missing")),
             (unusable("interest_rate", "_rate"),
-             _complaint("Cannot cast interest_rate", F.col("interest_rate"))),
+             _complaint("interest_rate is no decimal", F.col("interest_rate"))),
             (unusable("term_months", "_term"),
-             _complaint("Cannot cast term_months", F.col("term_months"))),
+             _complaint("term_months is no whole number", F.col("term_months"))),
             (unusable("principal_amount", "_principal"),
-             _complaint("Cannot parse principal_amount", F.col("principal_amount"))),
+             _complaint("principal_amount is no sum of money", F.col("principal_amount"))),
             (unusable("origination_date", "_date"),
-             _complaint("Cannot parse date", F.col("origination_date"))),
+             _complaint("origination_date is no date", F.col("origination_date"))),
         ],
     )
     typed = F.struct(
@@ -89,13 +89,13 @@ def classify_payments(raw: DataFrame) -> DataFrame:
         F.concat(F.lit("payment_id="), F.col("payment_id"), F.lit(": ")),
         [
             (t["amount"].isNotNull() & amount.isNull(),
-             _complaint("could not convert string to float", F.col("amount"))),
-            (amount < 0, _complaint("Negative amount", F.col("amount"))),
+             _complaint("amount is no number", F.col("amount"))),
+            (amount < 0, _complaint("amount is below zero", F.col("amount"))),
             (t["payment_timestamp"].isNotNull() & instant.isNull(),
-             _complaint("Cannot parse timestamp", F.col("payment_timestamp"))),
+             _complaint("payment_timestamp is no instant", F.col("payment_timestamp"))),
         ],
     )
-    reason = F.when(t["payment_id"].isNull(), F.lit("payment_id is empty")).otherwise(named)
+    reason = F.when(t["payment_id"].isNull(), F.lit("payment_id is missing")).otherwise(named)
     typed = F.struct(
         t["payment_id"].alias("payment_id"),
         t["loan_id"].alias("loan_id"),

@@ -28,7 +28,7 @@ DATE_NOTATIONS = (
     (r"^\d{1,2}-\d{1,2}-\d{4}$", ("M-d-yyyy", "d-M-yyyy")),
     (r"^\d{1,2}\.\d{1,2}\.\d{4}$", ("M.d.yyyy", "d.M.yyyy")),
 )
-ISO_DATE_WITH_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
+ISO_DATE_WITH_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
 
 # ISO-8601 shape -> the same instant written in full ($0 is the whole text).
 INSTANT_NOTATIONS = (
@@ -63,7 +63,10 @@ def parse_date(text: Column) -> Parsed:
         (shape, F.coalesce(*[F.try_to_date(text, f) for f in formats]))
         for shape, formats in DATE_NOTATIONS
     ]
-    cases.append((ISO_DATE_WITH_TIME, F.substring(text, 1, 10).try_cast("date")))
+    # The whole text must be an instant; its own day counts, whatever its zone.
+    instant = parse_timestamp(text).value
+    cases.append((ISO_DATE_WITH_TIME, F.when(
+        instant.isNotNull(), F.substring(text, 1, 10).try_cast("date"))))
     value = _first_shape(text, cases)
     return Parsed(value, text.isNotNull() & value.isNull())
 

@@ -35,11 +35,11 @@ def strict_emi_error(principal: Column, rate_pct: Column, months: Column) -> Col
     return (
         F.when(~complete, F.lit(None).cast("string"))
         .when(principal < 0,
-              F.concat(F.lit("Principal cannot be negative: "), principal.cast("string")))
+              F.concat(F.lit("principal is below zero: "), principal.cast("string")))
         .when(rate_pct < 0,
-              F.concat(F.lit("Interest rate cannot be negative: "), rate_pct.cast("string")))
+              F.concat(F.lit("rate is below zero: "), rate_pct.cast("string")))
         .when(months <= 0,
-              F.concat(F.lit("Term months must be positive: "), months.cast("string")))
+              F.concat(F.lit("term is not positive: "), months.cast("string")))
     )
 
 

@@ -87,7 +87,7 @@ def _gated(name: str, metric: Column, threshold: float, breach: Column, detail:
 
 def _volume(total: Column, errors: Column, rules: Rules) -> Column:
     rate = acceptance_rate(total, errors)
-    detail = F.format_string("%d/%d rows accepted", total - errors, total)
+    detail = F.format_string("accepted %d of %d rows", total - errors, total)
     return _gated("volume_acceptance_rate", rate, rules.acceptance_threshold,
                   rate < rules.acceptance_threshold, detail)
 
@@ -96,13 +96,13 @@ def _completeness(column: str, nulls: Column, total: Column, rules: Rules) -> Co
     rate = F.try_divide(nulls.cast("double"), total.cast("double"))
     check = _gated(f"completeness_{column}", rate, rules.max_null_rate,
                    rate > rules.max_null_rate,
-                   F.format_string(f"%d/%d nulls in {column}", nulls, total))
+                   F.format_string(f"empty %d of %d in {column}", nulls, total))
     return F.when(total > 0, check)
 
 
 def _validity(column: str, invalid: Column, what: str) -> Column:
     return _check(f"validity_{column}", F.when(invalid > 0, "WARN").otherwise("PASS"), invalid,
-                  F.lit(0.0), F.lit(False), F.format_string(f"%d unrecognised {what}", invalid))
+                  F.lit(0.0), F.lit(False), F.format_string(f"outside the closed set, %d {what}", invalid))
 
 
 def _audit(row: DataFrame, checks: list[Column], run_id: str, table: str,
@@ -148,7 +148,7 @@ def dq_loan(loans: DataFrame, errors: DataFrame, raw: DataFrame | None, run_id:
     checks = [
         _volume(total, F.col("errors"), rules),
         _gated("uniqueness_loan_id", dup, 0.0, dup > 0,
-               F.format_string("%d duplicate loan_ids", dup)),
+               F.format_string("loan_ids held twice: %d", dup)),
         *[_completeness(c, F.col(f"null_{c}"), F.col("current_rows"), rules)
           for c in LOAN_CRITICAL_COLUMNS],
         *[_validity(c, F.col(f"invalid_{c}"), f"{c} values") for c in LOAN_DOMAINS],
@@ -186,10 +186,10 @@ def dq_payment(payments: DataFrame, errors: DataFrame, raw_rows: DataFrame, run_
     checks = [
         _volume(F.col("raw_rows"), F.col("errors"), rules),
         _gated("uniqueness_payment_id_amount_timestamp", dup, 0.0, dup > 0, F.format_string(
-            "%d true duplicate (payment_id+amount+timestamp) combinations", dup)),
+            "booked twice (id, amount, instant): %d", dup)),
         _check("info_split_settlement_payment_ids", F.lit("INFO"), split, F.lit(0.0),
                F.lit(False), F.format_string(
-                   "%d payment_ids with multiple amounts (split settlements/fees)", split)),
+                   "ids paid in parts: %d", split)),
         *[_completeness(c, F.col(f"null_{c}"), F.col("all_rows"), rules)
           for c in PAYMENT_CRITICAL_COLUMNS],
         _validity("payment_method_type", F.col("invalid_method"), "payment methods"),

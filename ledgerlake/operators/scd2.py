@@ -56,6 +56,14 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, batch_ts: datetime,
     return conform(kept, LND_LOAN).unionByName(conform(opened, LND_LOAN))
 
 
+def not_superseded(history: DataFrame, incoming: DataFrame, batch_ts: datetime,
+                   key: str = "loan_id") -> DataFrame:
+    """Incoming rows without those whose key has a current row opened after the batch: a batch
+    that is run again, or late, doesn't undo what came later."""
+    later = history.where(F.col("is_current_flag") & (F.col("row_effective_from") > F.lit(batch_ts)))
+    return incoming.join(later.select(key), key, "left_anti")
+
+
 def open_rows(clean: DataFrame, batch_ts: datetime, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Cleaned rows as current versions starting at the batch time."""
     return clean.withColumns({

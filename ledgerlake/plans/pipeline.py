@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.audit import audit_row, loan_duplicates, payment_duplicates
-from ..operators.batches import latest_batch
 from ..operators.ledger import loan_standing
+from ..operators.scd2 import not_superseded
 from ..operators.quality import dq_loan, dq_payment, enforce
 from ..session import configure, materialise
 from ..settings import DEFAULT_RULES, Rules
@@ -21,6 +21,8 @@ from ..sources.tables import Lake
 from . import landing, marts, star
 
 STAMP = "_last_updated_ts"
+# Kinds of payment rejects: a line that gave no row, and a row that breaks a rule.
+LINE, ROW = "line", "row"
 
 
 @dataclass
@@ -55,30 +57,38 @@ def ingest_loans(run: Run, rows: DataFrame, source_file: str) -> None:
     lake = run.lake
     lake.append_batch("raw_loan", rows, run.batch_ts)
     batch = lake.read("raw_loan").where(F.col(STAMP) == run.now)
-    lake.append("raw_audit", audit_row(loan_duplicates(batch), run.batch_ts, source_file,
-                                       lake.name("raw_loan")))
+    table = lake.name("raw_loan")
+    lake.append_batch("raw_audit", audit_row(loan_duplicates(batch), run.batch_ts, source_file, table),
+                      run.batch_ts, table)
 
 
 def ingest_payments(run: Run, lines: PaymentLines, source_file: str) -> None:
     """Raw payment rows into raw_payment and unusable lines into lnd_err_payment."""
     lake = run.lake
     lake.append_batch("raw_payment", lines.good, run.batch_ts)
-    lake.append_batch("lnd_err_payment", lines.bad, run.batch_ts)
+    lake.append_batch("lnd_err_payment", lines.bad, run.batch_ts, LINE)
     batch = lake.read("raw_payment").where(F.col(STAMP) == run.now)
-    bad = lake.read("lnd_err_payment").where(F.col(STAMP) == run.now)
+    bad = lake.read("lnd_err_payment").where((F.col(STAMP) == run.now) & (F.col("_reject_kind") == LINE))
     unusable = bad.agg(F.count("*")).scalar()
     in_file = F.coalesce(F.col("total_rows"), F.lit(0)) + unusable
-    lake.append("raw_audit", audit_row(payment_duplicates(batch), run.batch_ts, source_file,
-                                       lake.name("raw_payment"), in_file))
+    table = lake.name("raw_payment")
+    lake.append_batch("raw_audit", audit_row(payment_duplicates(batch), run.batch_ts, source_file, table, in_file),
+                      run.batch_ts, table)
 
 
 def land_loans(run: Run) -> None:
-    """The newest raw batch into lnd_loan, rejects into lnd_err_loan."""
+    """The run's raw batch into lnd_loan, rejects into lnd_err_loan. An empty batch changes
+    nothing; in an older batch, loans whose current row was opened later stay as they are."""
     lake = run.lake
-    batch = latest_batch(lake.read("raw_loan"))
+    batch = lake.read("raw_loan").where(F.col(STAMP) == run.now)
+    if batch.isEmpty():
+        run.counters["loan.rows_in"] = 0
+        return
     cleaned = landing.clean_loan_batch(batch, run.batch_ts,
                                        keep=lambda df: materialise(df, "loans"))
     history = lake.read("lnd_loan")
+    cleaned = cleaned._replace(incoming=materialise(
+        not_superseded(history, cleaned.incoming, run.batch_ts), "incoming-loans"))
     run.count("loan", landing.loan_counters(batch, cleaned, history))
     lake.append_batch("lnd_err_loan", cleaned.errors, run.batch_ts)
     lake.switch("lnd_loan", landing.land_loans(history, cleaned.incoming, run.batch_ts, run.rules),
@@ -86,44 +96,48 @@ def land_loans(run: Run) -> None:
 
 
 def land_payments(run: Run) -> None:
-    """The newest raw batch into the ledger, rejects next to the batch's unusable lines."""
+    """The run's raw batch into the ledger, rejects beside the batch's unusable lines. An empty
+    batch changes nothing."""
     lake = run.lake
-    batch = latest_batch(lake.read("raw_payment"))
+    batch = lake.read("raw_payment").where(F.col(STAMP) == run.now)
+    if batch.isEmpty():
+        run.counters["payment.rows_in"] = 0
+        return
     ledger = lake.read("lnd_payment")
     cleaned = landing.clean_payment_batch(batch, ledger, run.batch_ts,
                                           keep=lambda df: materialise(df, "payments"))
     run.count("payment", landing.payment_counters(batch, cleaned))
-    # A rerun replaces the batch's reject partition, so the unusable lines go in again.
-    lines = lake.read("lnd_err_payment").where(
-        (F.col(STAMP) == run.now) & F.col("_rejection_reason").startswith("Line "))
-    rejects = materialise(lines.unionByName(cleaned.errors), "payment-rejects")
-    lake.append_batch("lnd_err_payment", rejects, run.batch_ts)
-    standing = loan_standing(lake.read("lnd_loan"), lake.read("raw_loan"))
+    lake.append_batch("lnd_err_payment", cleaned.errors, run.batch_ts, ROW)
+    ids = materialise(cleaned.new_rows.select("loan_id").distinct(), "batch-loans")
+    standing = loan_standing(lake.read("lnd_loan").join(ids, "loan_id", "left_semi"),
+                             lake.read("raw_loan").join(ids, "loan_id", "left_semi"))
     lake.append("lnd_payment", landing.book_payments(cleaned.new_rows, ledger, standing))
 
 
 def check_loans(run: Run) -> None:
-    """Write the loan checks, then stop the run on a breach."""
+    """Write the loan checks, then stop the run on a breach. Nothing to check without rows."""
+    if run.counters["loan.rows_in"] == 0:
+        return
     lake, run_id = run.lake, f"dq_lnd_loan_{run.batch_ts:%Y-%m-%d}"
     audit = materialise(dq_loan(
         lake.read("lnd_loan"), run.scoped(lake.read("lnd_err_loan")),
         run.scoped(lake.read("raw_loan")), run_id, lake.name("lnd_loan"), run.now, run.rules), "dq")
-    lake.append("lnd_dq_audit", audit)
+    lake.append_batch("lnd_dq_audit", audit, run.batch_ts, lake.name("lnd_loan"))
     run.breaches += enforce(audit, run.on_breach)
 
 
 def check_payments(run: Run) -> None:
-    """Write the payment checks, then stop the run on a breach."""
+    """Write the payment checks, then stop the run on a breach. Nothing to check without lines."""
     lake, run_id = run.lake, f"dq_lnd_payment_{run.batch_ts:%Y-%m-%d}"
+    if run.counters["payment.rows_in"] == 0 and lake.read("lnd_err_payment").where(F.col(STAMP) == run.now).isEmpty():
+        return
     lines = run.scoped(lake.read("raw_audit"), "batch_ts").where(
         F.col("source_table") == lake.name("raw_payment"))
-    # A batch that was run again has one audit row per attempt.
-    per_batch = lines.groupBy("batch_ts").agg(F.max("total_rows_in_file").alias("n"))
     audit = materialise(dq_payment(
         lake.read("lnd_payment"), run.scoped(lake.read("lnd_err_payment")),
-        per_batch.agg(F.coalesce(F.sum("n"), F.lit(0))), run_id, lake.name("lnd_payment"), run.now,
+        lines.agg(F.coalesce(F.sum("total_rows_in_file"), F.lit(0))), run_id, lake.name("lnd_payment"), run.now,
         run.rules), "dq")
-    lake.append("lnd_dq_audit", audit)
+    lake.append_batch("lnd_dq_audit", audit, run.batch_ts, lake.name("lnd_payment"))
     run.breaches += enforce(audit, run.on_breach)
 
 

@@ -11,7 +11,6 @@ from ..functions.borrower import with_borrower
 from ..functions.finance import (
     anomaly_flag_three_valued, balance_type, delinquency_flag, expected_emi,
 )
-from ..operators.skew import left_join_to_skewed
 from ..schemas import DIM_CUSTOMER, FCT_LOAN, FCT_PAYMENT, STG_LOAN_PAYMENT, conform
 from ..settings import DEFAULT_RULES, Rules
 
@@ -28,16 +27,21 @@ def _loan_columns() -> dict[str, Column]:
 
 
 def stg_loan_payment(loans: DataFrame, payments: DataFrame, as_of: date, now: Column,
-                     rules: Rules = DEFAULT_RULES,
-                     heavy_loans: list[str] | None = None) -> DataFrame:
-    """Current loans with their payments; loans without any stay, orphan payments drop."""
+                     rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Current loans with their payments; loans without any stay, orphan payments drop.
+
+    The payments of a hot loan are a side of an inner join, which adaptive execution splits;
+    loans without payments are added by an anti join with the distinct loan ids.
+    """
     current = (loans.where("is_current_flag").drop("_last_updated_ts")
                .withColumnRenamed("status", "loan_status").withColumns(_loan_columns()))
     booked = payments.select(
         "loan_id", "lnd_payment_sk", "payment_id", F.col("amount").alias("payment_amount"),
         "payment_timestamp", "payment_method_type", "payment_method_last_four",
         "payment_method_bank", "metadata_source", "metadata_user_agent")
-    joined = left_join_to_skewed(current, booked, "loan_id", heavy_loans)
+    paid = booked.where(F.col("loan_id").isNotNull())
+    unpaid = current.join(paid.select("loan_id").distinct(), "loan_id", "left_anti")
+    joined = current.join(paid, "loan_id").unionByName(unpaid, allowMissingColumns=True)
     paid_on, today = F.to_date("payment_timestamp"), F.lit(as_of)
     return conform(joined.withColumns({
         "days_since_payment": F.date_diff(today, paid_on),

@@ -77,7 +77,8 @@ LND_ERR_PAYMENT = _columns(
     "payment_id string, loan_id string, amount string, payment_timestamp string, "
     "payment_method_type string, payment_method_last_four string, payment_method_bank string, "
     "metadata_source string, metadata_user_agent string, _source_file string, "
-    "_last_updated_ts timestamp, _rejection_reason string, _rejected_at timestamp"
+    "_last_updated_ts timestamp, _rejection_reason string, _rejected_at timestamp, "
+    "_reject_kind string"
 )
 LND_DQ_AUDIT = _columns(
     "run_id string, table_name string, check_name string, check_result string, "

@@ -44,20 +44,6 @@ def open_source(spark: SparkSession, path: str, read) -> DataFrame:
         raise
 
 
-def spread_small(df: DataFrame, path: str) -> DataFrame:
-    """Deal the rows of an input smaller than one scan split out to all cores.
-
-    Such an input is read by a single task, and everything up to the first shuffle would run
-    there. Larger inputs are split by the scan and stay as they are.
-    """
-    spark = df.sparkSession
-    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    total = sizes.agg(F.sum("length")).first()[0] or 0
-    split = spark.sql("SET spark.sql.files.maxPartitionBytes").first()["value"]
-    limit = int(split.rstrip("bB")) if split.rstrip("bB").isdigit() else 128 << 20
-    return df.repartition(spark.sparkContext.defaultParallelism) if total < limit else df
-
-
 def line_numbers(wanted: DataFrame, lines: DataFrame, name: str) -> DataFrame:
     """Physical line number of the `wanted` rows within their file, counting from 1.
 

@@ -40,15 +40,15 @@ def line_problem(document: Column) -> Column:
     empty parent only leaves its children empty."""
     top = F.schema_of_variant(document)
     problem = (
-        F.when(document.isNull(), "JSONDecodeError: not valid JSON")
-        .when(~top.startswith("OBJECT"), F.concat(F.lit("AttributeError: line is "), top))
+        F.when(document.isNull(), "malformed JSON: no JSON text")
+        .when(~top.startswith("OBJECT"), F.concat(F.lit("wrong parent: line is "), top))
     )
     for path in PARENTS:
         text = F.try_variant_get(document, path, "string")
         kind = _kind(document, path)
         misplaced = (kind.isNotNull() & (kind != "VOID") & ~kind.startswith("OBJECT")
                      & ~F.coalesce(text.isin(*ABSENT), F.lit(False)))
-        problem = problem.when(misplaced, F.concat(F.lit(f"AttributeError: {path} is "), kind))
+        problem = problem.when(misplaced, F.concat(F.lit(f"wrong parent: {path} is "), kind))
     return problem
 
 

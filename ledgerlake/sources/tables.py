@@ -12,7 +12,9 @@ from ..schemas import TABLES, UNIQUE_KEYS, conform, required_columns_filled
 
 BATCH = "_last_updated_ts"
 # Appended tables are laid out by batch so that one batch is one partition.
-PARTITIONED = {t: (BATCH,) for t in ("raw_loan", "raw_payment", "lnd_err_loan", "lnd_err_payment")}
+PARTITIONED = {t: (BATCH,) for t in ("raw_loan", "raw_payment", "lnd_err_loan")}
+PARTITIONED |= {"lnd_err_payment": (BATCH, "_reject_kind"), "raw_audit": ("source_table", "batch_ts"),
+                "lnd_dq_audit": ("table_name", "checked_at")}
 VERSIONED = ("lnd_loan",)
 
 
@@ -44,10 +46,10 @@ class Lake:
         for layer in TABLES:
             space = self.namespace(layer)
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {space} LOCATION '{self.root}/{space}'")
-        for table, layer in self.layer_of.items():
-            self._create_table(table, layer)
+        for table in self.layer_of:
+            self._create_table(table)
 
-    def _create_table(self, table: str, layer: str) -> None:
+    def _create_table(self, table: str) -> None:
         if self.exists(table):
             return
         parts = PARTITIONED.get(table, ())
@@ -81,17 +83,21 @@ class Lake:
     def append(self, table: str, df: DataFrame) -> None:
         self._ready(table, df).write.mode("append").insertInto(self.name(table))
 
-    def append_batch(self, table: str, df: DataFrame, batch_ts: datetime) -> None:
+    def append_batch(self, table: str, df: DataFrame, batch_ts: datetime, part: str | None = None) -> None:
         """Append one batch to a table laid out by batch. Only the batch's own partition is
-        written, and replaced if it is there: a retry after a failure leaves no copies."""
-        ready = self._ready(table, df).drop(BATCH)
+        written, and replaced if it is there: a retry after a failure leaves no copies. `part`
+        is the partition's other value where a batch has several."""
+        columns = PARTITIONED[table]
+        ready = self._ready(table, df).drop(*columns)
+        instant = f"TIMESTAMP '{batch_ts:%Y-%m-%d %H:%M:%S.%f}'"
+        stamps = (BATCH, "batch_ts", "checked_at")
+        where = ", ".join(f"{c} = {instant if c in stamps else repr(part)}" for c in columns)
         view = f"batch_{uuid.uuid4().hex}"
         ready.createOrReplaceTempView(view)
         session = ready.sparkSession
         try:
             session.sql(f"INSERT OVERWRITE TABLE {self.name(table)} "
-                        f"PARTITION ({BATCH} = TIMESTAMP '{batch_ts:%Y-%m-%d %H:%M:%S.%f}') "
-                        f"SELECT * FROM {view}")
+                        f"PARTITION ({where}) SELECT * FROM {view}")
         finally:
             session.catalog.dropTempView(view)
 

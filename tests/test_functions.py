@@ -92,8 +92,8 @@ def test_instalments(spark):
                                  (D("-1"), None, 12)], "p decimal(18,2), r decimal(8,4), n int")
     why = [r[0] for r in odd.select(finance.strict_emi_error(*terms)).collect()]
     assert [w.split(":")[0] if w else w for w in why] == [
-        "Principal cannot be negative", "Interest rate cannot be negative",
-        "Term months must be positive", None]
+        "principal is below zero", "rate is below zero",
+        "term is not positive", None]
 
 
 def test_anomaly(spark):
@@ -158,7 +158,7 @@ def test_payment_rules(spark):
     df = spark.createDataFrame([r + (None,) * 5 for r in rows],
                                ", ".join(f"{n} string" for n in names.split(", ")))
     got = [r["_rejection_reason"] for r in classify_payments(df).collect()]
-    assert got == ["payment_id=P1: ValueError: Negative amount: '-5'",
-                   "payment_id=P2: ValueError: could not convert string to float: 'abc'",
-                   "payment_id is empty",
-                   "payment_id=P3: ValueError: Cannot parse timestamp: 'x'", None]
+    assert got == ["payment_id=P1: amount is below zero: '-5'",
+                   "payment_id=P2: amount is no number: 'abc'",
+                   "payment_id is missing",
+                   "payment_id=P3: payment_timestamp is no instant: 'x'", None]

@@ -3,6 +3,7 @@
 import uuid
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,24 +41,22 @@ def rows(lake, table, *order):
 def test_row_counts_of_every_layer(first_run):
     lake, _, _ = first_run
     expected = {
-        "raw_loan": 10, "raw_payment": 9, "raw_audit": 2, "lnd_loan": 7, "lnd_err_loan": 2,
-        "lnd_payment": 8, "lnd_err_payment": 1, "stg_loan_payment": 8, "dim_customer": 7,
-        "fct_loan": 7, "fct_payment": 7, "mart_delinquency": 2, "mart_payment_anomaly": 2,
-        "mart_data_observability": 2, "dim_date": 29221 - 1,
+        "raw_loan": 12, "raw_payment": 12, "raw_audit": 2, "lnd_loan": 6, "lnd_err_loan": 4,
+        "lnd_payment": 10, "lnd_err_payment": 2, "stg_loan_payment": 8, "dim_customer": 5,
+        "fct_loan": 6, "fct_payment": 7, "mart_delinquency": 3, "mart_payment_anomaly": 2,
+        "mart_data_observability": 2,
     }
-    got = {t: lake.read(t).count() for t in expected}
-    expected["dim_date"] = got["dim_date"]
-    assert got == expected
-    assert 29219 <= got["dim_date"] <= 29222
+    assert {t: lake.read(t).count() for t in expected} == expected
+    assert 29219 <= lake.read("dim_date").count() <= 29222
 
 
 def test_counters(first_run):
     _, run, _ = first_run
     assert run.counters == {
-        "loan.rows_in": 10, "loan.rows_deduplicated": 9, "loan.rows_rejected": 2,
-        "loan.rows_new": 7, "loan.rows_changed": 0, "loan.rows_unchanged": 0,
-        "payment.rows_in": 9, "payment.rows_deduplicated": 8, "payment.rows_rejected": 0,
-        "payment.rows_clean": 8, "payment.rows_inserted": 8, "payment.rows_split_settlement": 0,
+        "loan.rows_in": 12, "loan.rows_deduplicated": 10, "loan.rows_rejected": 4,
+        "loan.rows_new": 6, "loan.rows_changed": 0, "loan.rows_unchanged": 0,
+        "payment.rows_in": 12, "payment.rows_deduplicated": 11, "payment.rows_rejected": 1,
+        "payment.rows_clean": 10, "payment.rows_inserted": 10, "payment.rows_split_settlement": 1,
     }
 
 
@@ -65,22 +64,25 @@ def test_rejects_say_why(first_run):
     lake, _, _ = first_run
     reasons = [r["_rejection_reason"] for r in rows(lake, "lnd_err_loan", "_rejection_reason")]
     assert reasons == [
-        "loan_id=L0000006: ValueError: Cannot parse principal_amount: 'not_a_number'",
-        "loan_id=None: ValueError: loan_id is empty",
+        "loan_id=LN-3005: term_months is no whole number: 'thirty-six'",
+        "loan_id=LN-3006: origination_date is no date: '2022-02-30'",
+        "loan_id=LN-3009: interest_rate is no decimal: '14.9x'",
+        "loan_id=None: loan_id is missing",
     ]
-    bad = rows(lake, "lnd_err_payment", "_rejection_reason")
-    assert bad[0]["_rejection_reason"].startswith("Line 8: JSONDecodeError")
-    assert bad[0]["payment_id"] is None and bad[0]["_source_file"] == "payments.jsonl"
+    line, row = rows(lake, "lnd_err_payment", "_reject_kind")
+    assert line["_rejection_reason"].startswith("Line 6: malformed JSON")
+    assert line["payment_id"] is None and line["_source_file"] == "payments.jsonl"
+    assert row["_rejection_reason"] == "payment_id=PX-9: amount is below zero: '-5.0'"
 
 
 def test_audit_rows(first_run):
     lake, _, _ = first_run
     loan, pay = rows(lake, "raw_audit", "source_table")
     assert (loan["total_rows_in_file"], loan["distinct_keys"], loan["duplicate_key_count"],
-            loan["true_duplicate_count"]) == (10, 8, 1, 1)
+            loan["true_duplicate_count"]) == (12, 9, 2, 2)
     assert (pay["total_rows_in_file"], pay["total_rows_inserted"], pay["distinct_keys"],
             pay["duplicate_key_count"], pay["true_duplicate_count"],
-            pay["diff_amount_same_id_count"]) == (10, 9, 8, 1, 1, 0)
+            pay["diff_amount_same_id_count"]) == (13, 12, 10, 2, 1, 1)
 
 
 def test_gate_records_breaches(first_run, tmp_path):
@@ -96,18 +98,27 @@ def test_gate_records_breaches(first_run, tmp_path):
     assert strict.read("stg_loan_payment").count() == 0
 
 
+def instalment(principal, percent, months):
+    """Level payment of an annuity, summed period by period instead of in closed form."""
+    rate = Fraction(percent) / 1200
+    worth = sum(1 / (1 + rate) ** m for m in range(1, months + 1))
+    cents = Fraction(principal) / worth * 100
+    return Decimal(int(cents + Fraction(1, 2))) / 100
+
+
 def test_instalments_and_anomalies(first_run):
     lake, _, _ = first_run
     emi = {r["loan_id"]: r["expected_emi"] for r in rows(lake, "fct_loan", "loan_id")}
-    assert emi == {
-        "L0000001": Decimal("856.07"), "L0000002": Decimal("1122.61"),
-        "L0000003": Decimal("155.46"), "L0000004": Decimal("169.11"),
-        "L0000005": Decimal("1182.68"), "L0000008": Decimal("859.35"),
-        "L0000009": Decimal("439.35")}
-    odd = [(r["payment_id"], r["anomaly_reason"], r["deviation_pct"])
-           for r in rows(lake, "mart_payment_anomaly", F.desc("deviation_pct"))]
-    assert odd == [("P000000004", "OVERPAYMENT", Decimal("5813.30")),
-                   ("P000000009", "UNDERPAYMENT", Decimal("96.03"))]
+    terms = {"LN-3001": ("18400", "6.9", 48), "LN-3002": ("7250.5", "3.2", 96), "LN-3003": ("312000", "4.25", 240),
+             "LN-3004": ("3600", "0", 18), "LN-3007": ("5400", "2.75", 120), "LN-3008": ("98000.75", "5.1", 180)}
+    assert emi == {k: instalment(*v) for k, v in terms.items()}
+    odd = {r["payment_id"]: (r["anomaly_reason"], r["deviation_pct"]) for r in rows(lake, "mart_payment_anomaly", "payment_id")}
+
+    def percent(paid, due):
+        return round(abs(Decimal(paid) - due) / due * 100, 2)
+
+    assert odd == {"PX-4": ("UNDERPAYMENT", percent("50", emi["LN-3008"])),
+                   "PX-5": ("OVERPAYMENT", percent("12000", emi["LN-3003"]))}
 
 
 def test_delinquency_mart(first_run):
@@ -115,25 +126,29 @@ def test_delinquency_mart(first_run):
     got = {r["product_type"]: (r["total_active_loans"], r["delinquent_loans"],
                                r["delinquency_rate_pct"])
            for r in rows(lake, "mart_delinquency", "product_type")}
-    assert got == {"mortgage": (2, 2, Decimal("100.00")), "personal": (2, 2, Decimal("100.00"))}
+    assert got == {"auto": (1, 1, Decimal("100.00")), "mortgage": (1, 1, Decimal("100.00")),
+                   "personal": (1, 0, Decimal("0.00"))}
 
 
 def test_allocation_and_utc(first_run):
     lake, _, _ = first_run
     ledger = {r["payment_id"]: r for r in rows(lake, "lnd_payment", "lnd_payment_sk")}
-    assert ledger["P000000006"]["payment_allocation_status"] == "unallocated"
-    assert ledger["P000000002"]["payment_timestamp"] == datetime(2023, 3, 15, 15, 0)
-    assert ledger["P000000009"]["payment_timestamp"] == datetime(2023, 8, 20, 7, 30)
-    assert [r["lnd_payment_sk"] for r in ledger.values()] == list(range(1, 9))
+    standing = {k: r["payment_allocation_status"] for k, r in ledger.items()}
+    assert {k: v for k, v in standing.items() if v != "allocated"} == {
+        "PX-6": "unallocated", "PX-7": "loan_rejected", "PX-8": "unidentified"}
+    assert ledger["PX-2"]["payment_timestamp"] == datetime(2022, 4, 6, 6, 30)
+    assert ledger["PX-3"]["payment_timestamp"] == datetime(2024, 2, 20, 6, 30)
+    keys = [r["lnd_payment_sk"] for r in rows(lake, "lnd_payment", "lnd_payment_sk")]
+    assert keys == list(range(1, 11))
 
 
 def test_observability(first_run):
     lake, _, _ = first_run
     loan, pay = rows(lake, "mart_data_observability", "source_name")
     assert (loan["raw_rows_in_batch"], loan["lnd_rows_rejected"], loan["fct_rows"],
-            loan["dq_checks_run"], loan["pipeline_status"]) == (10, 2, 7, 13, "FAIL")
+            loan["dq_checks_run"], loan["pipeline_status"]) == (12, 4, 6, 13, "FAIL")
     assert (pay["payments_allocated"], pay["payments_unallocated"], pay["payments_unidentified"],
-            pay["dq_checks_run"], pay["freshness_hours"]) == (7, 1, 0, 9, Decimal("0.00"))
+            pay["dq_checks_run"], pay["freshness_hours"]) == (7, 1, 1, 9, Decimal("0.00"))
     assert loan["payments_allocated"] is None
 
 
@@ -145,43 +160,54 @@ def test_loan_facts_agree_with_staging(first_run):
     assert via_stg.exceptAll(direct).isEmpty() and direct.exceptAll(via_stg).isEmpty()
 
 
-def test_second_batch_and_rerun(spark, tmp_path):
+LANDED = ("raw_loan", "raw_payment", "raw_audit", "lnd_loan", "lnd_payment", "lnd_err_loan", "lnd_err_payment",
+          "lnd_dq_audit")
+
+
+def test_batches_again_and_an_empty_one(spark, tmp_path):
+    """Batches 1, 2, 1, 2 and an empty one leave what 1, 2 leave."""
     lake = new_lake(spark, tmp_path)
-    pipeline.run_batch(lake, *files.write(tmp_path / "a"), TS1, AS_OF, on_breach="record")
-    changed = [r.replace("personal,10000.00", "personal,10500.00") for r in files.LOANS[:5]]
-    more = files.PAYMENTS[:3] + [
-        files.payment("P000000001", "L0000001", "100.00", "2023-02-15T10:00:00Z"),
-        files.payment("P000000010", "L0000006", "50", "2024-02-20"),
+    one = files.write(tmp_path / "a")
+    loans = [files.LOANS[0].replace("18400.00", "18900.00"), files.LOANS[2], files.LOANS[10], files.LOANS[5],
+             files.LOANS[11].replace("14.9x", "14.9")]
+    payments = files.PAYMENTS[:2] + [
+        files.payment(11, 3006, "50", "2024-02-25"), '{"cut',
         # Booked before, spelled differently.
-        files.payment("P000000008", "L0000008", "858.450", "2023-05-01T16:00:00+08:00")]
-    paths = files.write(tmp_path / "b", changed, more)
-    run = pipeline.run_batch(lake, *paths, TS2, AS_OF, on_breach="record")
-    assert {k: v for k, v in run.counters.items() if k.startswith("loan.")} == {
-        "loan.rows_in": 5, "loan.rows_deduplicated": 5, "loan.rows_rejected": 0,
-        "loan.rows_new": 0, "loan.rows_changed": 1, "loan.rows_unchanged": 4}
-    assert run.counters["payment.rows_inserted"] == 2
+        files.payment(2, 3001, "440.100", "2022-04-06T06:30:00Z", "card")]
+    two = files.write(tmp_path / "b", loans, payments)
+
+    def run(paths, ts):
+        return pipeline.run_batch(lake, *paths, ts, AS_OF, on_breach="record")
 
     def state():
-        old, new = rows(lake, "lnd_loan", "row_effective_from")[0], None
-        versions = [r for r in rows(lake, "lnd_loan", "loan_id", "row_effective_from")
-                    if r["loan_id"] == "L0000001"]
-        old, new = versions
-        assert (old["is_current_flag"], old["row_effective_to"]) == (False, TS2.date())
-        assert (new["is_current_flag"], new["row_effective_to"]) == (True, date(9999, 12, 31))
-        assert new["principal_amount"] == Decimal("10500.00")
-        assert lake.read("lnd_loan").count() == 8
-        assert lake.read("lnd_payment").count() == 10
-        assert lake.read("raw_loan").count() == 15
-        assert lake.read("lnd_err_payment").count() == 1
-        keys = [r["lnd_payment_sk"] for r in rows(lake, "lnd_payment", "lnd_payment_sk")]
-        assert keys == list(range(1, 11))
-        standing = {r["payment_id"]: r["payment_allocation_status"]
-                    for r in lake.read("lnd_payment").collect()}
-        assert standing["P000000010"] == "loan_rejected"
-
-    state()
-    pipeline.run_batch(lake, *paths, TS2, AS_OF, on_breach="record")
-    state()
+        # A rerun checks the landed tables as they are by then.
+        facts = {"lnd_dq_audit": ("run_id", "check_name")}
+        kept = {t: sorted(map(repr, lake.read(t).select(*facts.get(t, "*")).collect())) for t in LANDED}
+        health = lake.read("mart_data_observability").drop("_last_updated_ts").collect()
+        return kept, sorted(map(repr, health))
+
+    run(one, TS1)
+    second = run(two, TS2)
+    assert {k: v for k, v in second.counters.items() if k.startswith("loan.")} == {
+        "loan.rows_in": 5, "loan.rows_deduplicated": 5, "loan.rows_rejected": 1,
+        "loan.rows_new": 1, "loan.rows_changed": 1, "loan.rows_unchanged": 2}
+    assert second.counters["payment.rows_inserted"] == 1
+    old, new = [r for r in rows(lake, "lnd_loan", "loan_id", "row_effective_from") if r["loan_id"] == "LN-3001"]
+    assert (old["is_current_flag"], old["row_effective_to"]) == (False, TS2.date())
+    assert (new["is_current_flag"], new["row_effective_to"]) == (True, date(9999, 12, 31))
+    assert new["principal_amount"] == Decimal("18900.00")
+    want = state()
+    counts = {t: len(v) for t, v in want[0].items()}
+    assert counts == {"raw_loan": 17, "raw_payment": 16, "raw_audit": 4, "lnd_loan": 8, "lnd_payment": 11,
+                      "lnd_err_loan": 5, "lnd_err_payment": 3, "lnd_dq_audit": 44}
+    run(one, TS1)
+    assert state()[0] == want[0]
+    run(two, TS2)
+    assert state() == want
+    empty = run(files.write(tmp_path / "c", [], []), TS2 + timedelta(days=1))
+    assert empty.counters == {"loan.rows_in": 0, "payment.rows_in": 0} and not empty.breaches
+    now = state()[0]
+    assert all(now[t] == want[0][t] for t in LANDED if t != "raw_audit") and len(now["raw_audit"]) == 6
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -227,7 +253,7 @@ def test_csv_quirks(spark, tmp_path):
 
 def test_line_numbers_across_splits(spark, tmp_path):
     """Bad lines are numbered by physical line, with blanks counted and the file cut in blocks."""
-    good = files.payment("P1", "L1", "5.0", "2020-01-01T00:00:00Z")
+    good = files.payment(1, 1, "5.0", "2020-01-01T00:00:00Z")
     lines, bad = [], []
     for i in range(1, 2001):
         if i % 97 == 0:
