@@ -59,6 +59,10 @@ def positions(length: int) -> Column:
     return runs(F.col("h"), length)
 
 
+def fingerprints(length: int) -> Column:
+    return F.transform(positions(length), lambda p: fingerprint(p, length))
+
+
 def windows(length: int) -> Column:
     """(p, length, fingerprint, digest) of every run of `length` words."""
     return F.transform(positions(length), lambda p: F.struct(
@@ -96,8 +100,7 @@ def text_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id
                          text_key(F.col(text_col)).alias("tkey"), F.col(text_col).alias("text"))
     own = [f"_own_{i}" for i in range(len(keep))]
     marked = prepared(source, "tkey", *own).select("tkey", *own, F.size("words").alias("n_words"), F.array_distinct(
-        F.concat(F.transform(positions(WINDOW), lambda p: fingerprint(p, WINDOW)),
-                 *[F.transform(positions(m), lambda p, m=m: fingerprint(p, m)) for m in short]))
+        F.concat(fingerprints(WINDOW), *map(fingerprints, short)))
         .alias("fps"))
     table = store(marked, "fingerprints")
     hit = (table.select("tkey", F.explode("fps").alias("fp")).join(marks, "fp", "left_semi")

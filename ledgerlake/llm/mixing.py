@@ -66,7 +66,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fractio
     fits = F.when(F.col("level") * F.col("w") <= F.col("cap"), F.struct(F.col("cap") / F.col("w"), F.col("key"), F.col("level")))
     lowest = F.min(fits).over(everywhere)["level"]
     return store(levels.select(
-        "key", F.col("s").alias("source_size"), (F.col("ts") / F.col("s")).alias("mean_tilt"),
+        "key", F.col("s").alias("source_size"), F.try_divide("ts", F.col("s").cast("double")).alias("mean_tilt"),
         F.least(F.col("cap").cast("double"), lowest * F.col("w")).alias("target")), "targets")
 
 

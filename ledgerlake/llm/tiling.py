@@ -14,6 +14,8 @@ from ledgerlake.llm.components import components
 
 # Shingles of a block's classes outside and inside the main component: bounds of a task's memory.
 OUTSIDE, INSIDE = 500_000, 2_000_000
+# Tiles up to this many classes are settled by pairs, larger ones in blocks, with the same links.
+PAIRED = 32
 
 
 def tiles(keys: DataFrame) -> DataFrame:
@@ -101,13 +103,24 @@ def settled_links(shared: DataFrame, verified: Callable[[DataFrame, str], DataFr
     first = store(components(links, "first-components"), "first-roots")
 
     # Members of a tile with their component so far; tiles of one component are settled.
-    placed = store(multi.join(first.withColumnRenamed("node", "class"), "class", "left").select(
-        "key", "class", "n", F.coalesce("root", "class").alias("root")), "placed")
-    main = (placed.groupBy("key", "root").agg(F.count("*").alias("c"))
-            .groupBy("key").agg(F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("roots"))
-            .where("roots > 1").select("key", F.col("top.root").alias("main")))
-    asked = placed.join(main, "key").select("main", "class", "n", "root").distinct()
-    asked = store(asked, "open-tiles")
+    placed = multi.join(first.withColumnRenamed("node", "class"), "class", "left").select(
+        "key", "members", "class", "n", F.coalesce("root", "class").alias("root"))
+    placed = store(placed, "placed")
+    main = placed.join(hubs.select("key", "hub.class"), ["key", "class"]).select("key", F.col("root").alias("main"))
+    open_keys = placed.join(main, "key").where("root != main").select("key", "main").distinct()
+    unsettled = store(placed.join(open_keys, "key"), "open-tiles")
+
+    # Of a small tile, pairs: at most `PAIRED` for a member.
+    small = unsettled.where(F.col("members") <= PAIRED)
+    left = small.where("root != main").select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("root").alias("root_a"))
+    right = small.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"))
+    paired = pairs_of(left.join(right, "key").where(f"root_a != root_b and {fits}"))
+    paired = store(paired.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "rest-pairs")
+    links = store(links.union(verified(paired, "rest")), "paired-links")
+
+    # Of large tiles, blocks; tiles with the same main component are taken together.
+    asked = unsettled.where(F.col("members") > PAIRED).select("main", "class", "n", "root").distinct()
+    asked = store(asked, "large-tiles")
     sets = sets_of(asked.select("class").distinct(), "open")
     outer = F.when(F.col("root") != F.col("main"), F.col("n"))
     cuts = asked.groupBy("main").agg(
