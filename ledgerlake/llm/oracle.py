@@ -6,6 +6,8 @@ expressed in SQL; brute-force versions, exact round trips and held-out rows test
 
 from __future__ import annotations
 
+from ledgerlake.llm import licences
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op2_decontamination"] = r"""
@@ -102,3 +104,37 @@ reach AS (SELECT doc_id AS x, doc_id AS root FROM d UNION SELECT e.b, root FROM
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(root) AS component_id
 FROM d JOIN reach ON reach.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY 1, 2
 """
+
+
+def _canonical_lines(text: str) -> str:
+    plain = f"regexp_replace(lower({text}), '{licences.COPYRIGHT_LINE}', '', 'g')"
+    plain = f"regexp_replace({plain}, '{licences.OTHER}', ' ', 'g')"
+    return f"regexp_replace({plain}, ' ?\\n ?', '\\n', 'g')".replace("'\\n'", "chr(10)")
+
+
+def _canonical(lines: str) -> str:
+    out = f"' ' || translate({lines}, chr(10), ' ') || ' '"
+    for spelt, canon in licences.SPELLINGS:
+        out = f"replace({out}, ' {spelt} ', ' {canon} ')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+ORACLE["op9_licence_scan"] = f"""
+WITH k AS (
+  SELECT licence_id, {_canonical(_canonical_lines("t"))} AS form
+  FROM (VALUES {", ".join(f"({_text(name)}, {_text(t)})" for name, texts in licences.KNOWN.items() for t in texts)}) AS v(licence_id, t)),
+d AS (
+  SELECT DISTINCT licence_id, sha256(form) AS digest FROM k WHERE form <> ''),
+l AS (
+  SELECT doc_id, trim({_canonical_lines("text")}, ' ' || chr(10)) AS t FROM documents),
+u AS (
+  SELECT doc_id, t, unnest(list_distinct([t] || regexp_split_to_array(t, '\\n{{2,}}') || regexp_split_to_array(t, '\\n+'))) AS part
+  FROM l WHERE t <> '')
+SELECT doc_id, licence_id, bool_or(part = t) AS whole, count(*) AS n_texts
+FROM u JOIN d ON sha256({_canonical("part")}) = digest
+GROUP BY doc_id, licence_id
+"""

@@ -24,7 +24,7 @@ TEXTS = [
     (0, " ".join(BASE)), (1, NEAR), (2, " ".join(BASE).upper()), (3, None), (4, ""), (5, " \n\t"), (6, "two words"),
     (7, "Two  words"), (8, LONG), (9, LONG + " more"), (10, "one"), (None, "no id here at all"), (12, "…!? 12"),
     (13, "two words"), (13, "two words"), (14, "bench " * 3 + " ".join(f"b{i}" for i in range(13)) + " end"),
-    (15, "short item inside"), (16, " ".join(BASE[:30]))]
+    (15, "short item inside"), (16, " ".join(BASE[:30])), (17, "a line\nreleased under the mit licence\n\n(c) us")]
 
 
 def documents(spark, rows=TEXTS):
@@ -50,7 +50,7 @@ def table_folder(spark, tmp_path, rows=TEXTS):
     return folder
 
 
-@pytest.mark.parametrize("name", ["op2_decontamination", "op6_source_mix", "op10_exact_top_k"])
+@pytest.mark.parametrize("name", ["op2_decontamination", "op6_source_mix", "op9_licence_scan", "op10_exact_top_k"])
 def test_against_sql(spark, tmp_path, name):
     folder = table_folder(spark, tmp_path)
     with duckdb.connect() as sql:
