@@ -18,13 +18,17 @@ OUTSIDE, INSIDE = 500_000, 2_000_000
 PAIRED = 32
 
 
-def tiles(keys: DataFrame) -> DataFrame:
-    """The (key, class, n) of keys that two or more classes share, with the key's first class."""
-    w = Window.partitionBy("key").orderBy("class")
-    rows = keys.select("key", "class", "n", F.first("class").over(w).alias("first"),
-                       F.lag("class").over(w).alias("before"), F.lead("class").over(w).alias("after"))
-    return (rows.where("first != class or after is not null")
-            .where("before is null or before != class").select("key", "class", "n", "first"))
+def tiles(keys: DataFrame, repeated: bool = False) -> DataFrame:
+    """The (key, class, n) of keys that two or more classes share, each class once a key; with
+    `repeated`, also of keys that one class has several times, told apart by `several`. One
+    shuffle by key; the order of classes within a key serves all windows."""
+    ordered, whole = Window.partitionBy("key").orderBy("class"), Window.partitionBy("key")
+    rows = keys.select("key", "class", "n", F.lag("class").over(ordered).alias("before"),
+                       F.lead("class").over(ordered).alias("after"))
+    several = F.min("class").over(whole) != F.max("class").over(whole)
+    kept = F.col("several") | F.col("after").isNotNull() if repeated else F.col("several")
+    return (rows.withColumn("several", several).where(kept)
+            .where("before is null or before != class").select("key", "class", "n", "several"))
 
 
 def pairs_of(a: DataFrame) -> DataFrame:
@@ -87,9 +91,9 @@ def settled_links(shared: DataFrame, verified: Callable[[DataFrame, str], DataFr
     that make one link per class and component. A pair whose two classes are in one component by
     then can't change it.
     """
-    ends = shared.groupBy("key").agg(F.min(F.struct("class", "n")).alias("lo"), F.max("class").alias("hi"),
-                                     F.count("*").alias("members")).where("lo.class != hi")
-    multi = store(shared.select("key", "class", "n").join(ends.drop("hi"), "key"), "multi-tiles")
+    shared = shared.where("several").drop("several")
+    ends = shared.groupBy("key").agg(F.min(F.struct("class", "n")).alias("lo"), F.count("*").alias("members"))
+    multi = store(shared.join(ends, "key"), "multi-tiles")
     ties = multi.groupBy("class").agg(F.sum("members").alias("ties"))
     ranked = multi.join(ties, "class")
     hubs = ranked.groupBy("key").agg(F.max(F.struct("ties", "class", "n")).alias("hub"))
