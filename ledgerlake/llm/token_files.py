@@ -214,9 +214,10 @@ def _dictionary(spark: SparkSession, folder: str) -> tuple[bytes, str]:
     return bytes(row["bytes"]), row["sha256"]
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
+def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """Every document of the folder, decoded from its frame: part, block, at (its place in the
-    block), ids (little-endian unsigned 32-bit integers), ids_crc32. The index has the rest."""
+    block), n_tokens, ids_crc32, and the ids (little-endian unsigned 32-bit integers) unless only
+    the digests are wanted. The index has the rest."""
     dictionary, sha = _dictionary(spark, folder)
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -228,12 +229,14 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 ends = [*b.offsets[1:], len(b.payload)]
                 ids = [np.frombuffer(decompressor.decompress(b.payload[o:e]), f"<u{b.width}")
                        .astype("<u4").tobytes() for o, e in zip(b.offsets, ends, strict=True)]
-                yield pd.DataFrame({"part": b.part, "block": b.block, "at": range(len(ids)),
-                                    "ids": ids, "ids_crc32": [zlib.crc32(x) for x in ids]})
+                made = pd.DataFrame({"part": b.part, "block": b.block, "at": range(len(ids)),
+                                     "n_tokens": [len(x) // 4 for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids]})
+                yield made.assign(ids=ids) if with_ids else made
 
     blocks = spark.read.parquet(f"{folder}/blocks").select(
         "part", "block", "offsets", "dictionary", "width", "payload")
-    return blocks.mapInPandas(decode, "part int, block int, at int, ids binary, ids_crc32 long")
+    return blocks.mapInPandas(decode, "part int, block int, at int, n_tokens long, ids_crc32 long"
+                              + ", ids binary" * with_ids)
 
 
 def read_documents(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
@@ -260,8 +263,7 @@ def read_documents(spark: SparkSession, folder: str, doc_ids: list[int]) -> Data
 
 def token_digests(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
-    decoded = read_tokens(spark, folder).select(
-        "part", "block", "at", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids_crc32")
+    decoded = read_tokens(spark, folder, with_ids=False)
     index = spark.read.parquet(f"{folder}/index").select("part", "block", "at", "doc_id", "start")
     return decoded.join(index, ["part", "block", "at"]).select(
         "doc_id", "start", "n_tokens", "ids_crc32")

@@ -131,6 +131,8 @@ def test_token_folder(spark, tmp_path):
         start += len(ids)
     got = sorted(map(tuple, token_files.token_digests(spark, folder).collect()), key=lambda r: r[1])
     assert got == want
+    whole = {zlib.crc32(bytes(r["ids"])) for r in token_files.read_tokens(spark, folder).collect()}
+    assert whole == {r[3] for r in want}
     one = token_files.read_documents(spark, folder, [9, 6]).collect()
     assert {r["doc_id"]: len(r["ids"]) for r in one} == {r[0]: r[2] for r in want if r[0] in (6, 9)}
 
