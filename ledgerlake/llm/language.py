@@ -47,7 +47,7 @@ def learn(labelled: DataFrame, vocabulary_path: str, text_col: str = "text", lan
         return LanguageModel(vocabulary_path, [], np.zeros(0), np.zeros((0, 0)))
     counts = np.array([r["n"] for r in shares], float)
     limits = rows.sparkSession.createDataFrame(
-        [(x, i, min(1.0, rows_per_language / c)) for i, (x, c) in enumerate(zip(languages, counts, strict=True))],
+        [(x, i, min(1.0, rows_per_language / float(c))) for i, (x, c) in enumerate(zip(languages, counts, strict=True))],
         "lang string, at int, share double")
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
