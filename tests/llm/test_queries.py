@@ -179,6 +179,17 @@ def test_repeated_passages(spark):
     assert {tuple(r["kept_ids"]) for r in got} == {(1,)}
 
 
+def test_repeated_passages_over_several_lines(spark):
+    words = [f"m{i}" for i in range(60)]
+    rows = [(1, "head of one\n" + "\n".join(" ".join(words[i:i + 7]) for i in range(0, 60, 7)) + "\ntail"),
+            (2, "another " + " ".join(words)), (3, "\n\n".join(" ".join(words[i:i + 23]) for i in range(0, 60, 23))),
+            (4, "\n".join(f"s{i} short" for i in range(40))), (5, "\n".join(f"s{i} short" for i in range(40)))]
+    got = repeats.repeated_passages(documents(spark, rows)).collect()
+    assert {(r["id"], r["removed"]) for r in got} >= {(1, False), (2, True), (3, True), (4, False), (5, True)}
+    assert {r["id"] for r in got if not r["removed"]} == {1, 4}
+    assert all(r["n_words"] >= 51 and r["kept_ids"] == [1 if r["id"] < 4 else 4] for r in got)
+
+
 def test_mix_reaches_targets(spark):
     rows = [(i, " ".join(["w"] * (1 + i * 7 % 40)), f"s{i % 4}") for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
