@@ -50,7 +50,8 @@ class Encoder(dict):
     The tokenizer's pattern never joins a character with white space after it, and gives a
     single space to what follows it. A run of other characters with the one space or line feed
     before it is therefore encoded the same way in any text; so are letters and the punctuation
-    that ends such a run. Texts with longer white space are encoded in one piece.
+    that ends such a run. Texts with longer white space, or with the content of an added token,
+    which has an id of its own wherever it stands, are encoded in one piece.
 
     Keys are such runs without their space, or with their line feed. A key that is no whole run
     has no value, which sends its text to the tokenizer.
@@ -61,7 +62,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = {2: "H", 4: "I"}[self.width]
         self.end = self.packed([end_id])
@@ -116,6 +117,8 @@ class Encoder(dict):
         if self.held > MEMO_BYTES:
             self.older, self.held = dict(self), 0
             self.clear()
+        if any(content in text for content in self.added):
+            return self.whole(text) + self.end
         runs = ("\n" + text).replace("\n", " \n").split(" ")
         values = list(map(self.__getitem__, runs[1:]))
         if None in values:

@@ -28,6 +28,15 @@ def test_encoder_agrees_with_whole_texts(encoder, text):
     assert encoder.encode(text) == encoder.packed([*ids, 2])
 
 
+def test_encoder_agrees_with_the_plain_library(encoder):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert 50256 in plain.encode("a <|endoftext|> b", add_special_tokens=False).ids
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y\nz", "a <|endoftext| > b", "<|ENDOFTEXT|>, no", "plain words,\nand more"):
+        assert encoder.encode(text) == encoder.packed([*plain.encode(text, add_special_tokens=False).ids, 2])
+
+
 def test_encoder_forgets_and_goes_on(encoder, monkeypatch):
     monkeypatch.setattr(token_files, "MEMO_BYTES", 500)
     texts = [f"word{i} other {i}, word{i % 3}" for i in range(60)]
