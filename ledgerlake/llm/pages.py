@@ -3,13 +3,15 @@
 1. Every page scores its containers: characters of text blocks outside links and outside menus,
    headers, footers, sidebars, notices, adverts, forms and comments go to the innermost
    container, added up per generalised path (tags and first classes from the root, digits off).
-2. Pages vote per host, each with the shares of its best paths; a host's winner is the path
-   with the largest sum.
+2. Pages vote per host, each with the shares of all its paths; the path with the largest sum
+   leads. A host's winner is the deepest container around the leading path, or that path itself,
+   which holds 15 of 16 such characters of the pages that have the path: text split over sibling
+   containers stays together.
 3. Every page is read again: the text of the containers on its host's winning path. Pages
    without such a container, or without text in it, use their own best path.
 
 A path inside an article or main element stands for that element, so headings beside the text
-column belong to the text. Null html gives an empty text, as does a page without text. Unclosed
+column belong to the text; nothing around it is taken in. Null html gives an empty text, as does a page without text. Unclosed
 and misplaced tags are tolerated; a tag cut off by the end of the page is left out. Null urls,
 and urls without a host, share one host. Rows that repeat a page vote and are read as often as
 they occur. Ties go to the path that sorts first.
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import broadcast_if_small, store, text_batches
 
-VOTES_PER_PAGE = 3
+SHARE = 1 << 30  # a page's whole vote
+MOST, OF = 15, 16
 
 RAW = "script|style|noscript|template|svg|iframe|textarea|select|object|title|math|canvas|audio|video"
 TOKEN = re.compile(
@@ -172,33 +175,65 @@ def path_scores(found: list[tuple]) -> Counter:
     return scores
 
 
-def _whole(path: str) -> str:
+def _prefixes(path: str) -> list[str]:
+    """The path and those around it, down to the page itself."""
+    steps = path.split(">") if path else []
+    return [">".join(steps[:i]) for i in range(len(steps), -1, -1)]
+
+
+def votes(found: list[tuple]) -> Iterator[tuple[str, str, int, int]]:
+    """(path, path around it, vote of the path, share of the path around it) of every path that has
+    characters outside links and every path around it; the vote is 0 but for the path itself. An
+    article or main element has none around it."""
+    inner, total = Counter(), 0
+    for _, path, plain, _ in found:
+        inner[path] += plain
+        total += plain
+    holds: Counter = Counter()
+    for path, n in inner.items():
+        for around in _prefixes(path):
+            holds[around] += n
+    for path, n in path_scores(found).items():
+        if n:
+            for around in [path] if _named(path) else _prefixes(path):
+                yield path, around, SHARE * n // total if around == path else 0, SHARE * holds[around] // total
+
+
+def _named(path: str) -> list[int]:
+    """Places of the steps that make the path stand for an article or main element."""
     steps = path.split(">")
-    tags = [s.split(".")[0] for s in steps]
-    named = [i for i, s in enumerate(steps) if tags[i] == "article" or ARTICLE_WORDS & set(re.findall(r"[a-z]+", s.lower()))]
-    if named:
-        return ">".join(steps[:named[0] + 1])
-    if "main" in tags:
-        return ">".join(steps[:len(tags) - tags[::-1].index("main")])
-    return path
+    articles = [i for i, s in enumerate(steps) if s.split(".")[0] == "article" or ARTICLE_WORDS & set(re.findall(r"[a-z]+", s.lower()))]
+    return articles[:1] or [i for i, s in enumerate(steps) if s.split(".")[0] == "main"][-1:]
+
+
+def _whole(path: str) -> str:
+    named = _named(path)
+    return ">".join(path.split(">")[:named[0] + 1]) if named else path
 
 
 def best_paths(found: list[tuple], most: int) -> list[tuple[str, int]]:
-    """(path, thousandths of the page's score), best first."""
-    scores = path_scores(found)
-    total = sum(scores.values())
-    ranked = sorted(((p, 1000 * n // total) for p, n in scores.items() if n), key=lambda x: (-x[1], x[0])) if total else []
+    """(path, its vote), best first."""
+    ranked = sorted(((p, n) for p, around, n, _ in votes(found) if p == around), key=lambda x: (-x[1], x[0]))
     return ranked[:most]
 
 
+def best_container(found: list[tuple]) -> str | None:
+    """The winner of a page by itself."""
+    best = best_paths(found, 1)
+    if not best:
+        return None
+    around = [(a, n) for p, a, _, n in votes(found) if p == best[0][0]]
+    whole = max(n for _, n in around)
+    return max((a for a, n in around if OF * n >= MOST * whole), key=len)
+
+
 def main_text(html: str | None, winner: str | None) -> str:
     found = list(blocks(html)) if html else []
-    inner = [text for text, _, _, inside in found if any(p == winner for p, _ in inside)]
-    if not inner and found:
-        own = best_paths(found, 1)
-        inner = [text for text, _, _, inside in found if own and (
-            own[0][0] == "" or any(p == own[0][0] for p, _ in inside))]
-    return " ".join(inner)
+
+    def within(path: str | None) -> list[str]:
+        return [text for text, _, _, inside in found if path == "" or any(p == path for p, _ in inside)]
+
+    return " ".join((within(winner) if winner is not None else []) or within(best_container(found)))
 
 
 def host_of(url: Column) -> Column:
@@ -211,16 +246,23 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            votes: Counter = Counter()
+            own, share = Counter(), Counter()
             for host, html in zip(batch["host"], batch["html"], strict=True):
-                votes.update({(host, p): n for p, n in best_paths(list(blocks(html)), VOTES_PER_PAGE)})
-            yield pd.DataFrame([(h, p, n) for (h, p), n in votes.items()], columns=["host", "path", "votes"])
+                for path, around, n, held in votes(list(blocks(html))):
+                    own[host, path, around] += n
+                    share[host, path, around] += held
+            yield pd.DataFrame([(*k, own[k], n) for k, n in share.items()], columns=["host", "path", "around", "own", "share"])
 
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("html is not null")
-    votes = rows.mapInPandas(vote, "host string, path string, votes long").groupBy("host", "path").agg(
-        F.sum("votes").alias("votes"))
-    first = F.min(F.struct((-F.col("votes")).alias("less"), "path"))
-    return store(votes.groupBy("host").agg(first["path"].alias("path")), "host-paths")
+    sums = rows.mapInPandas(vote, "host string, path string, around string, own long, share long").groupBy(
+        "host", "path", "around").agg(F.sum("own").alias("own"), F.sum("share").alias("share"))
+    # A path's list has one entry per step of the path.
+    paths = sums.groupBy("host", "path").agg(F.sum("own").alias("own"), F.max("share").alias("whole"), F.collect_list(
+        F.struct(F.length("around").alias("size"), "around", "share")).alias("list"))
+    paths = paths.select("host", (-F.col("own")).alias("less"), "path", F.array_max(F.filter(
+        "list", lambda x: OF * x["share"] >= MOST * F.col("whole")))["around"].alias("around"))
+    first = F.min(F.struct("less", "path", "around"))
+    return store(paths.groupBy("host").agg(first["around"].alias("path")), "host-paths")
 
 
 def with_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:

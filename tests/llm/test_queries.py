@@ -227,6 +227,20 @@ def test_pages(spark):
     assert got == [(0, text), (1, text), (2, text), (3, text), (8, ""), (9, ""), (10, "alone"), (10, "alone")]
 
 
+def test_pages_with_text_in_sibling_containers(spark):
+    page = ("<html><body><nav><a href='/'>Home</a></nav><div class='content'><div class='intro'><p>{0} opening words</p></div>"
+            "<div class='text'><p>{0} long middle part of the text</p></div><section class='more'><p>{0} closing words</p>"
+            "</section></div><footer>us</footer></body></html>")
+    rows = [(i, f"http://split.example/{i}", page.format(i)) for i in range(3)]
+    many = "".join(f"<div class='part{c}'><p>section {c}</p></div>" for c in "abcdefgh")
+    rows += [(9, "http://many.example/", f"<html><body><div class='all'>{many}</div></body></html>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["_main"] for r in pages.with_main_text(df).collect()}
+    want = {i: f"{i} opening words {i} long middle part of the text {i} closing words" for i in range(3)}
+    assert got == want | {9: " ".join(f"section {c}" for c in "abcdefgh")}
+    assert pages.main_text(rows[0][2], None) == want[0]
+
+
 def test_licences(spark):
     mit = licences.KNOWN["MIT"][-1]
     rows = [(1, "Copyright (c) 2020 Someone\n\n" + mit.upper()), (2, "Text before.\nreleased under the mit licence\nafter"), (3, None),
