@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import per_process, text_batches
 from ledgerlake.llm.lattice import Lattice, Vocabulary, WordScores, probabilities
 
-# The piece probabilities are fitted on about this many rows of each language, chosen by hash.
+# The piece probabilities are fitted on about this many distinct texts of each language, chosen
+# by hash and counted once each, however often a text is repeated.
 ROWS_PER_LANGUAGE = 1500
 UNKNOWN = "und"
 
@@ -41,13 +42,14 @@ def learn(labelled: DataFrame, vocabulary_path: str, text_col: str = "text", lan
     text_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang is not null and text is not null")
-    shares = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()  # a row per language
+    shares = (rows.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count("*").alias("n")).groupBy("lang")
+              .agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy("lang").collect())  # a row per language
     languages = [r["lang"] for r in shares]
     if not languages:
         return LanguageModel(vocabulary_path, [], np.zeros(0), np.zeros((0, 0)))
     counts = np.array([r["n"] for r in shares], float)
     limits = rows.sparkSession.createDataFrame(
-        [(x, i, min(1.0, rows_per_language / float(c))) for i, (x, c) in enumerate(zip(languages, counts, strict=True))],
+        [(x, i, min(1.0, rows_per_language / float(r["texts"]))) for i, (x, r) in enumerate(zip(languages, shares, strict=True))],
         "lang string, at int, share double")
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -62,7 +64,8 @@ def learn(labelled: DataFrame, vocabulary_path: str, text_col: str = "text", lan
         yield pd.DataFrame({"at": at, "piece": piece, "n": found[at, piece]})
 
     chosen = (rows.join(F.broadcast(limits), "lang")
-              .where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("at", "text"))
+              .where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+              .groupBy("at", F.md5(F.col("text").cast("binary"))).agg(F.first("text").alias("text")).select("at", "text"))
     totals = (chosen.mapInPandas(pieces, "at int, piece int, n double")
               .groupBy("at", "piece").agg(F.sum("n").alias("n")).toPandas())  # pieces x languages at most
     table = np.zeros((Vocabulary(vocabulary_path).size, len(languages)))

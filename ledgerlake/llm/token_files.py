@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import per_process, text_batches
 
-# The dictionary is trained on the first characters of about this many documents, chosen by hash;
+# The dictionary is trained on so many characters in a row, from a place given by hash, of about
+# this many documents, chosen by hash;
 # a bounded sample is enough, as it only changes the compression.
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, DICTIONARY_BYTES = 400, 4000, 32768
 BLOCK_BYTES, BLOCK_DOCUMENTS = 1 << 20, 2000
@@ -154,7 +155,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     rows = rows.withColumn("tie", F.xxhash64("text"))
     share = min(1.0, SAMPLE_DOCUMENTS / max(1, docs.count()))
     chosen = F.pmod(F.xxhash64("tie", "id"), F.lit(1 << 40)) < share * (1 << 40)
-    sample = (rows.where(chosen).select(F.substring("text", 1, SAMPLE_CHARACTERS).alias("text"))
+    places = F.greatest(F.length("text") - SAMPLE_CHARACTERS + 1, F.lit(1))
+    begin = (F.pmod(F.xxhash64("id", "tie"), places) + 1).cast("int")
+    sample = (rows.where(chosen).select(F.substring(F.col("text"), begin, F.lit(SAMPLE_CHARACTERS)).alias("text"))
               .limit(4 * SAMPLE_DOCUMENTS).collect())  # the limit binds only among repeated rows
     encoder = Encoder(tokenizer_path, end_id)
     dictionary = trained_dictionary([encoder.encode(r.text) for r in sample])

@@ -152,6 +152,28 @@ def test_language(spark):
     assert {r["_language"]["lang_pred"] for r in language.with_language(asked, nothing).collect()} == {"und"}
 
 
+def test_language_counts_a_text_once(spark):
+    german, english = [f"haus nummer {i} und hund" for i in range(4)], [f"house number {i} and dog" for i in range(4)]
+
+    def learned(copies):
+        rows = [(t, x) for texts, x in ((german, "de"), (english, "en")) for t in texts[:1] * copies + texts[1:]]
+        return language.learn(spark.createDataFrame(rows, "text string, lang string"),
+                              public_tokenizers.path("piece_bpe_32k.model"), rows_per_language=4)
+
+    once, often = learned(1), learned(60)
+    assert np.array_equal(once.probs, often.probs) and len(np.unique(once.probs)) > 2
+
+
+def test_dictionary_sample_is_spread_over_texts(spark, tmp_path, monkeypatch):
+    seen = []
+    train = token_files.trained_dictionary
+    monkeypatch.setattr(token_files, "trained_dictionary", lambda samples: seen.extend(samples) or train(samples))
+    text = "head " * 900 + "tail " * 4000
+    docs = spark.createDataFrame([(i, text) for i in range(20)], "doc_id long, text string")
+    token_files.write_tokens(docs, str(tmp_path / "t"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+    assert len(set(seen)) > 1
+
+
 @pytest.mark.parametrize("top", [0, 3, 1000])
 def test_lm_scores(spark, monkeypatch, top):
     monkeypatch.setattr(lm_score.frequent, "__defaults__", (top,))
