@@ -138,3 +138,53 @@ SELECT doc_id, licence_id, bool_or(part = t) AS whole, count(*) AS n_texts
 FROM u JOIN d ON sha256({_canonical("part")}) = digest
 GROUP BY doc_id, licence_id
 """
+
+ORACLE["op12_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score
+  FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLE["op13_phrases"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+o AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS sizes(k)),
+f AS (SELECT lang, k, w[i:i + k - 1] AS gram, count(*) AS f FROM o GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+longer AS (
+  SELECT lang, part, max(f) AS f
+  FROM (SELECT lang, f, unnest([gram[1:2], gram[2:3]]) AS part FROM f WHERE k = 3 AND f >= 10) GROUP BY ALL),
+c AS (
+  SELECT f.* FROM f LEFT JOIN longer ON longer.lang = f.lang AND longer.part = f.gram
+  WHERE f.k >= 2 AND f.f >= 10 AND (longer.f IS NULL OR 100 * longer.f < 50 * f.f)),
+cuts AS (
+  SELECT c.lang, c.gram, c.f AS a, cut, x.f AS l, y.f AS r,
+         CAST((CAST(1000000 AS HUGEINT) * c.f * c.f) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM c JOIN (VALUES (1), (2)) AS t(cut) ON cut < c.k
+  JOIN f x ON x.lang = c.lang AND x.gram = c.gram[1:cut] JOIN f y ON y.lang = c.lang AND y.gram = c.gram[cut + 1:]),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(gram, ' ')) AS rank,
+       array_to_string(gram, ' ') AS phrase, a, l, r, n.n, score
+FROM worst JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""

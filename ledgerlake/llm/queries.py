@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (decontaminate, jaccard_join, knn, language, licences, lm_score, mixing, pages, repeats,
-                            token_files)
+from ledgerlake.llm import (decontaminate, hard_negatives, jaccard_join, knn, language, licences, lm_score, mixing,
+                            packing, pages, phrases, repeats, token_files)
 from ledgerlake.llm.common import crc_bucket, table
 from ledgerlake.session import checkpoint_folder, configure
 
@@ -111,3 +111,24 @@ def op10_exact_top_k(spark, folder):
     """The five highest integer inner products of every fiftieth vector with all others."""
     best = knn.top_k(table(spark, folder, "embeddings"), "id % 50 = 0")
     return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op11_packing(spark, folder):
+    """Pieces of all `documents`, packed into sequences of at most 1024 tokens."""
+    made = packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return packing.pieces(made)
+
+
+@query
+def op12_hard_negatives(spark, folder):
+    """The ten best rows of other labels within 30 to 90 percent of each of an anchor's five positives."""
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), "id % 100 = 0")
+
+
+@query
+def op13_phrases(spark, folder):
+    """The 2000 best two- and three-word phrases of `documents` in every language."""
+    return phrases.collocations(table(spark, folder, "documents"))
