@@ -26,15 +26,20 @@ name: only text and language are read.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ascii_lower, store
+from ledgerlake.llm.common import store, text_batches
 
-PIECE_END, GAP = r"[.,;:!?\x0A-\x0D]", r"[ \t]+"
+PIECE_ENDS = ".,;:!?\x0b\x0c\r"
 UNKNOWN = "und"
+# Different runs that a task holds before it sends them, and rows of a batch it sends.
+HELD, SENT = 500_000, 50_000
 
 
 class Graph(NamedTuple):
@@ -48,55 +53,91 @@ class Graph(NamedTuple):
     inner: DataFrame
 
 
+def pieces_of(text: bytes | None) -> Iterator[list[str]]:
+    """The words of every piece of a text that has any, A-Z in lower case."""
+    plain = (text or b"").lower().decode("utf-8", "replace").replace("\t", " ")
+    for mark in PIECE_ENDS:
+        plain = plain.replace(mark, "\n")
+    for piece in plain.split("\n"):
+        words = piece.split(" ")
+        if "" in words:
+            words = [w for w in words if w]
+        if words:
+            yield words
+
+
 def longest_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, gram for every word of every piece: the word and the next two, as far as there are."""
-    pieces = docs.select(
-        F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"),
-        F.explode(F.split(ascii_lower(F.col(text_col)), PIECE_END)).alias("piece"))
-    words = pieces.select("lang", F.btrim("piece", F.lit(" \t")).alias("piece")).where("piece != ''").select(
-        "lang", F.split("piece", GAP).alias("w"))
-    after = [F.slice("w", F.lit(k), F.size("w")).alias(f"w{k}") for k in (2, 3)]
-    runs = words.select("lang", F.explode(F.arrays_zip(F.col("w").alias("w1"), *after)).alias("x"))
-    return runs.select("lang", F.concat_ws(" ", "x.w1", "x.w2", "x.w3").alias("gram"))
+    """lang, node, tail, n: the edges and piece ends of the texts. An edge is its first node and its
+    last word; a piece's last two words, and its last, are nodes without a tail.
 
+    A task adds up what it reads in a bounded table and sends that sorted, as far as it goes.
+    """
 
-def _first(gram: str, n: int) -> Column:
-    return F.substring_index(F.col(gram), " ", n)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counter] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for lang, counter in held.items():
+                runs = sorted(counter)
+                for lo in range(0, len(runs), SENT):
+                    part = runs[lo:lo + SENT]
+                    cut = [run.rpartition(" ") if run.count(" ") == 2 else (run, "", "") for run in part]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([lang] * len(part), pa.string()), pa.array([c[0] for c in cut], pa.string()),
+                        pa.array([c[2] for c in cut], pa.string()), pa.array([counter[r] for r in part], pa.int64())],
+                        ["lang", "node", "tail", "n"])
+            held.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counter = held.setdefault(lang, Counter())
+                for words in pieces_of(text):
+                    counter.update(map(" ".join, zip(words, words[1:], words[2:], strict=False)))
+                    counter[words[-1]] += 1
+                    if len(words) > 1:
+                        counter[f"{words[-2]} {words[-1]}"] += 1
+                if sum(map(len, held.values())) > HELD:
+                    yield from rows()
+        yield from rows()
+
+    text_batches(docs.sparkSession)
+    rows = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, "lang string, node string, tail string, n long")
 
 
 def counted(runs: DataFrame, least: int) -> DataFrame:
-    """Stored (kind, lang, gram, f): edges (3), nodes (2) and words (1) with at least `least`
-    occurrences, and each language's number of words (0).
+    """Stored (kind, lang, gram, f): edges and ends (3), nodes (2) and words (1) with at least
+    `least` occurrences, and each language's number of words (0).
 
-    One plan: the shuffled edges serve the edges themselves and the nodes, the shuffled nodes
-    serve the nodes and the words.
+    The edges are dealt by their node, so that one shuffle serves them and the nodes; words need
+    one more, of the nodes' sums. The filters stand on the sums alone, which keeps the shuffle
+    the same for all.
     """
-    edges = runs.groupBy("lang", "gram").agg(F.count("*").alias("f"))
-    nodes = edges.groupBy("lang", _first("gram", 2).alias("gram")).agg(F.sum("f").alias("f"))
-    words = nodes.groupBy("lang", _first("gram", 1).alias("gram")).agg(F.sum("f").alias("f"))
-    totals = words.groupBy("lang").agg(F.lit("").alias("gram"), F.sum("f").alias("f"))
+    dealt = runs.repartition("lang", "node")
+    edges = dealt.groupBy("lang", "node", "tail").agg(F.sum("n").alias("f"))
+    nodes = edges.groupBy("lang", "node").agg(F.sum("f").alias("f"))
+    words = nodes.groupBy("lang", F.substring_index("node", " ", 1).alias("gram")).agg(F.sum("f").alias("f"))
     often = F.col("f") >= least
+    return store(edges.where(often).select(F.lit(3).alias("kind"), "lang", F.concat_ws(
+        " ", "node", F.when(F.col("tail") != "", F.col("tail"))).alias("gram"), "f")
+                 .unionByName(nodes.where(often).select(F.lit(2).alias("kind"), "lang", F.col("node").alias("gram"), "f"))
+                 .unionByName(words.where(often).select(F.lit(1).alias("kind"), "lang", "gram", "f"))
+                 .unionByName(words.groupBy("lang").agg(F.sum("f").alias("f")).select(
+                     F.lit(0).alias("kind"), "lang", F.lit("").alias("gram"), "f")), "grams")
 
-    def of(kind: int, df: DataFrame) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"), "lang", "gram", "f")
 
-    return store(of(3, edges.where(often & F.col("gram").like("% % %")))
-                 .unionByName(of(2, nodes.where(often & F.col("gram").contains(" "))))
-                 .unionByName(of(1, words.where(often)))
-                 .unionByName(of(0, totals)), "grams")
-
-
-def _word(n: int) -> Column:
-    return F.substring_index(F.substring_index("gram", " ", n), " ", -1)
+def _first(gram: str, n: int) -> Column:
+    return F.substring_index(F.col(gram), " ", n)
 
 
 def graph(docs: DataFrame, least: int = 10, text_col: str = "text", lang_col: str = "lang") -> Graph:
     grams = counted(longest_runs(docs, text_col, lang_col), least)
-    words, nodes = (grams.where(F.col("kind") == k).select("lang", "gram", "f") for k in (1, 2))
+    spaces = F.length("gram") - F.length(F.replace("gram", F.lit(" "), F.lit("")))
+    words, nodes = (grams.where((F.col("kind") == k) & (spaces == k - 1)).select("lang", "gram", "f") for k in (1, 2))
     totals = grams.where("kind = 0").select("lang", F.col("f").alias("n"))
     begin, end = nodes.withColumnsRenamed({"gram": "begin", "f": "f_begin"}), nodes.withColumnsRenamed(
         {"gram": "end", "f": "f_end"})
-    edges = grams.where("kind = 3").select(
+    edges = grams.where((F.col("kind") == 3) & (spaces == 2)).select(
         "lang", "gram", "f", _first("gram", 2).alias("begin"), F.substring_index("gram", " ", -2).alias("end"))
     edges = store(edges.join(begin, ["lang", "begin"]).join(end, ["lang", "end"])
                   .withColumn("id", F.monotonically_increasing_id()), "edges")
