@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable
@@ -51,13 +52,22 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def per_process(name: tuple, make: Callable, most: int = 4):
-    """make(), kept by this Python worker for its later tasks; at most `most` of them at a time.
-    `name` tells contents apart."""
+# What the objects that a Python worker keeps between tasks may take together.
+KEPT_BYTES = 256 << 20
+
+
+def per_process(name: tuple, make: Callable, size: int = 32 << 20):
+    """make(), kept by this Python worker for its later tasks. `name` tells contents apart, `size`
+    is about the most bytes the object grows to. The oldest objects go first, as soon as all of
+    them together may pass `KEPT_BYTES`; the newest always stays."""
     kept = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
     objects = kept.__dict__.setdefault("objects", {})
     if name not in objects:
-        while len(objects) >= most:
+        dropped = False
+        while objects and sum(s for _, s in objects.values()) + size > KEPT_BYTES:
             del objects[next(iter(objects))]
-        objects[name] = make()
-    return objects[name]
+            dropped = True
+        if dropped:
+            gc.collect()
+        objects[name] = make(), size
+    return objects[name][0]

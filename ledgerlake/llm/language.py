@@ -83,7 +83,7 @@ def predicted(model: LanguageModel, text: Column) -> Column:
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         path, languages, prior, probs = shared.value
         scores = per_process(("languages", name), lambda: WordScores(
-            Lattice(Vocabulary(path), probs))) if languages else None
+            Lattice(Vocabulary(path), probs)), 128 << 20) if languages else None
         for texts in parts:
             out = []
             words = [t.lower().split() if t and languages and any(map(str.isalpha, t)) else None for t in texts]

@@ -12,10 +12,11 @@ from __future__ import annotations
 import numpy as np
 
 MARK = "▁"
-# Words up to this length are taken together, by length; longer ones one at a time.
-LONG = 48
-# Sums are kept in range by this factor for each character, taken off again at the end.
-PER_CHARACTER = 40.0
+# Characters of equally long words that are taken together.
+TOGETHER = 1 << 16
+# After so many characters the running sums are divided by the newest one, whose logarithm is kept
+# apart: sums over texts of any length and script stay in range.
+RESCALED = 4
 STEP, MIX1, MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
@@ -68,7 +69,7 @@ class Lattice:
             spelt[int(self._hash(codes[None, :])[0])] = (i, len(piece))
         keys = np.array(sorted(spelt), np.uint64)
         self.keys, self.pieces = keys, np.array([spelt[int(x)][0] for x in keys])
-        self.scaled = probs[self.pieces] * PER_CHARACTER ** np.array([spelt[int(x)][1] for x in keys])[:, None]
+        self.weights = probs[self.pieces]
 
     @staticmethod
     def _hash(codes: np.ndarray) -> np.ndarray:
@@ -87,51 +88,54 @@ class Lattice:
         for i, w in enumerate(marked):
             by_length.setdefault(len(w), []).append(i)
         for n, at in by_length.items():
-            if n > LONG:
-                for i in at:
-                    out[i] = self._one(marked[i])
-            else:
-                out[at] = self._many("".join(marked[i] for i in at), len(at), n)
+            step = max(1, TOGETHER // n)
+            for lo in range(0, len(at), step):
+                part = at[lo:lo + step]
+                out[part] = self._sums("".join(marked[i] for i in part), len(part), n)
         return out
 
-    def _many(self, joined: str, m: int, n: int) -> np.ndarray:
+    def _arcs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, row, weights) of all pieces in the words, by start and length."""
+        m, n = codes.shape
+        found = []
+        h = np.zeros((m, n), np.uint64)
+        for length in range(1, min(self.longest, n) + 1):
+            h = (h[:, :n - length + 1] + codes[:, length - 1:] + np.uint64(1)) * np.uint64(STEP)
+            key = _mixed(h)
+            slot = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[slot] == key
+            row, start = np.nonzero(hit)
+            found.append((start, np.full(len(start), length), row, self.weights[slot[row, start]]))
+            if length == 1:  # a character without a piece is spelt in bytes
+                row, start = np.nonzero(~hit)
+                if len(row):
+                    kinds, which = np.unique(codes[row, start], return_inverse=True)
+                    spelt = np.array([self.spelling(int(c)) for c in kinds])
+                    found.append((start, np.full(len(start), 1), row, spelt[which]))
+        start, length, row, weights = (np.concatenate(part) for part in zip(*found, strict=True))
+        order = np.lexsort((length, start))
+        return start[order], length[order], row[order], weights[order]
+
+    def _sums(self, joined: str, m: int, n: int) -> np.ndarray:
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes = codes.reshape(m, n).astype(np.uint64)
-        alpha = np.zeros((n + 1, m, self.probs.shape[1]))
-        alpha[0] = 1.0
-        for s in range(n):
-            h = np.zeros(m, np.uint64)
-            for e in range(s + 1, min(n, s + self.longest) + 1):
-                h = (h + codes[:, e - 1] + np.uint64(1)) * np.uint64(STEP)
-                key = _mixed(h)
-                slot = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                rows = np.flatnonzero(self.keys[slot] == key)
-                alpha[e, rows] += alpha[s, rows] * self.scaled[slot[rows]]
-                if e == s + 1 and len(rows) < m:
-                    rest = np.setdiff1d(np.arange(m), rows, assume_unique=True)
-                    kinds, which = np.unique(codes[rest, s], return_inverse=True)
-                    spelt = np.array([self.spelling(int(c)) for c in kinds]) * PER_CHARACTER
-                    alpha[e, rest] += alpha[s, rest] * spelt[which]
-        return np.log(alpha[n]) - n * np.log(PER_CHARACTER)
-
-    def _one(self, word: str) -> np.ndarray:
-        n, k = len(word), self.probs.shape[1]
-        recent = [np.zeros(k) for _ in range(self.longest + 1)]
-        recent[0], scale = np.ones(k), 0.0
-        for s in range(n):
-            here = recent[0]
-            top = here.max()
-            if top < 1e-100 or top > 1e100:  # the sums ahead are all products with earlier ones
-                recent = [r / top for r in recent]
-                scale, here = scale + np.log(top), recent[0]
-            for e in range(s + 1, min(n, s + self.longest) + 1):
-                i = self.ids.get(word[s:e])
-                if i is not None:
-                    recent[e - s] = recent[e - s] + here * self.probs[i]
-                elif e == s + 1:
-                    recent[1] = recent[1] + here * self.spelling(ord(word[s]))
-            recent = [*recent[1:], np.zeros(k)]
-        return np.log(np.maximum(recent[0], 1e-300)) + scale
+        start, length, row, weights = self._arcs(codes.reshape(m, n).astype(np.uint64))
+        # Runs of arcs of one start and length; no word has two of them.
+        cut = np.flatnonzero(np.diff(start * (self.longest + 1) + length)) + 1
+        lows, highs = np.concatenate([[0], cut]), np.concatenate([cut, [len(start)]])
+        ahead = self.longest + 1
+        sums = np.zeros((ahead, m, self.probs.shape[1]))
+        sums[0], scale, at = 1.0, np.zeros((m, self.probs.shape[1])), 0
+        for lo, hi, s, e in zip(lows.tolist(), highs.tolist(), start[lows].tolist(), length[lows].tolist(), strict=True):
+            if s > at:
+                sums[at % ahead] = 0.0
+                at = s
+                if at % RESCALED == 0:
+                    here = sums[at % ahead].copy()
+                    sums /= here
+                    scale += np.log(here)
+            rows = row[lo:hi]
+            sums[(s + e) % ahead, rows] += sums[s % ahead, rows] * weights[lo:hi]
+        return np.log(sums[n % ahead]) + scale
 
 
 class WordScores:

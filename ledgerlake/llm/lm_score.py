@@ -32,7 +32,7 @@ from ledgerlake.llm.common import per_process, store, text_batches
 from ledgerlake.llm.lattice import Lattice, Vocabulary, probabilities
 
 TOP, TOP_BYTES = 120_000, 64
-HELD_WORDS = 200_000
+HELD_WORDS, LATTICE_WORDS = 200_000, 20_000
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -88,15 +88,23 @@ def word_scores(words: DataFrame, vocabulary_path: str, probs: np.ndarray, n: in
     """Stored: words with lp, the log10 of P(w); n and v count the words of the training texts."""
     shared = words.sparkSession.sparkContext.broadcast(probs)
 
+    def scored_words(lattice: Lattice, batch: pd.DataFrame) -> pd.DataFrame:
+        spelt = lattice.forward([w.decode("utf-8", "replace") for w in batch["word"]])[:, 0]
+        with np.errstate(divide="ignore"):
+            whole = np.log(batch["c"].to_numpy(float) / max(1, n + v))
+        rest = np.log(v / (n + v)) if v else 0.0
+        return batch.assign(lp=np.logaddexp(whole, rest + spelt) / np.log(10))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lattice = Lattice(Vocabulary(vocabulary_path), shared.value)
+        lattice, waiting = Lattice(Vocabulary(vocabulary_path), shared.value), []
         for batch in batches:
-            spelt = lattice.forward([w.decode("utf-8", "replace") for w in batch["word"]])[:, 0]
-            with np.errstate(divide="ignore"):
-                whole = np.log(batch["c"].to_numpy(float) / max(1, n + v))
-            rest = np.log(v / (n + v)) if v else 0.0
-            batch["lp"] = np.logaddexp(whole, rest + spelt) / np.log(10)
-            yield batch
+            waiting.append(batch)
+            # The lattice takes words of a length together, so it gets many at a time.
+            if sum(map(len, waiting)) >= LATTICE_WORDS:
+                yield scored_words(lattice, pd.concat(waiting, ignore_index=True))
+                waiting = []
+        if waiting:
+            yield scored_words(lattice, pd.concat(waiting, ignore_index=True))
 
     return store(words.mapInPandas(run, "word binary, c long, n long, lp double"), "word-scores")
 
@@ -137,7 +145,7 @@ def scored(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         top, c, lp = per_process(key, lambda: (
-            {w: i for i, w in enumerate(shared.value[0])}, *shared.value[1:]))
+            {w: i for i, w in enumerate(shared.value[0])}, *shared.value[1:]), 48 << 20)
         base = np.log10((c + 1) / (n + v + 1))
         for batch in batches:
             out = []

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import per_process, store, text_batches
-from ledgerlake.llm.token_files import Encoder
+from ledgerlake.llm.token_files import ENCODER_BYTES, Encoder
 
 OPEN, MERGED = 1024, 64
 ROWS_AT_ONCE = 512
@@ -129,7 +129,7 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int, size: int = 1024,
     text_batches(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_process(("encoder", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id))
+        encoder = per_process(("encoder", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id), ENCODER_BYTES)
 
         def pieces() -> Iterator[tuple]:
             for batch in batches:

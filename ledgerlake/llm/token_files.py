@@ -40,6 +40,7 @@ from ledgerlake.llm.common import per_process, text_batches
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, DICTIONARY_BYTES = 400, 4000, 32768
 BLOCK_BYTES, BLOCK_DOCUMENTS = 1 << 20, 2000
 MEMO_BYTES = 96 << 20
+ENCODER_BYTES = 2 * MEMO_BYTES + (40 << 20)
 BLOCK_SCHEMA = ("part int, block int, doc_ids array<long>, n_tokens array<long>, "
                 "starts array<long>, offsets array<long>, dictionary string, width int, "
                 "payload binary")
@@ -166,7 +167,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
         .coalesce(1).write.parquet(f"{folder}/dictionary")
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = per_process(("encoder", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id))
+        encoder = per_process(("encoder", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id), ENCODER_BYTES)
         compressor, _ = _codec(dictionary)
         part, block, tokens, size = TaskContext.get().partitionId(), 0, 0, 0
         documents: list[tuple] = []
