@@ -5,14 +5,12 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.text import clean_strings
 from ..plans import pipeline
-from ..schemas import RAW_LOAN, conform
 from ..settings import LOAN_FILE_COLUMNS
 from ..sources.files import with_lineage
+from ..sources.loans import loan_rows, text_lines
 from ..sources.payments import route_lines
 from ..sources.tables import Lake
 
@@ -27,20 +25,17 @@ def stream_loans(lake: Lake, folder: str, checkpoint: str, first: datetime,
                  as_of: date) -> StreamingQuery:
     """Land every loan file that has arrived in `folder` since the last run, then stop.
 
-    The files must have the ten expected columns in order.
+    The files must have the ten expected columns in order. They are read in byte ranges, also
+    where quoted fields hold line breaks.
     """
-    text = T.StructType([T.StructField(c, T.StringType()) for c in LOAN_FILE_COLUMNS])
-    files = (lake.spark.readStream.schema(text).option("header", True).option("multiLine", True)
-             .option("quote", '"').option("escape", '"').option("enforceSchema", False).csv(folder)
-             .select(*LOAN_FILE_COLUMNS, "_metadata"))
+    lines = text_lines(lake.spark.readStream).text(folder).select("value", "_metadata")
 
     def land(rows: DataFrame, batch_id: int) -> None:
         run = pipeline.Run(lake, batch_instant(first, batch_id), as_of)
-        stamped = clean_strings(with_lineage(rows, run.batch_ts), LOAN_FILE_COLUMNS)
-        pipeline.ingest_loans(run, conform(stamped, RAW_LOAN), folder)
+        pipeline.ingest_loans(run, loan_rows(rows, run.batch_ts, list(LOAN_FILE_COLUMNS)), folder)
         pipeline.land_loans(run)
 
-    return (files.writeStream.option("checkpointLocation", checkpoint)
+    return (lines.writeStream.option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(land).start())
 
 
