@@ -5,39 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 1 << 20
+from ..session import materialise
 
 
 def nearest_numbers(probes: DataFrame, known: DataFrame, number: str,
-                    width: int = BUCKET_WIDTH) -> DataFrame:
+                    slices: int | None = None) -> DataFrame:
     """For each distinct probe number: `closest_below` and `closest_above` among `known`.
 
-    Numbers fall into fixed-width ranges. Distinct numbers cannot overfill a range, and a
-    window inside a range finds neighbours there. A neighbour beyond the range is the edge
-    of the nearest non-empty one, taken from a table with one row per range.
+    The distinct numbers are range-partitioned into slices of about equal size, however far
+    apart they lie, and written down, as a range partitioning that is computed anew need not
+    cut at the same places. A window inside a slice finds the neighbours there; a neighbour
+    beyond it is the edge of the nearest slice that knows one, carried over a table with one
+    row per slice. `slices` is by default the number of shuffle partitions.
     """
-    bucket = F.floor(F.col(number) / F.lit(width)).cast("bigint").alias("_bucket")
-    asked = probes.select(bucket, F.col(number).alias("_n"), F.lit(True).alias("_probe"))
-    have = known.select(bucket, F.col(number).alias("_n"), F.lit(False).alias("_probe"))
-    points = (
-        asked.unionByName(have).where(F.col("_n").isNotNull())
-        .groupBy("_bucket", "_n")
+    asked = probes.select(F.col(number).alias("_n"), F.lit(True).alias("_probe"))
+    have = known.select(F.col(number).alias("_n"), F.lit(False).alias("_probe"))
+    distinct = (
+        asked.unionByName(have).where(F.col("_n").isNotNull()).groupBy("_n")
         .agg(F.max("_probe").alias("_probe"), F.min("_probe").alias("_only_probe"))
-        .withColumn("_known", F.when(~F.col("_only_probe"), F.col("_n")))
     )
-    edges = points.groupBy("_bucket").agg(F.min("_known").alias("_lo"), F.max("_known").alias("_hi"))
-    along = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    back = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.select("_bucket", F.max("_hi").over(along).alias("_prev"),
+    ranged = (distinct.repartitionByRange("_n") if slices is None
+              else distinct.repartitionByRange(slices, "_n"))
+    points = materialise(ranged.select(
+        F.spark_partition_id().alias("_slice"), "_n", "_probe",
+        F.when(~F.col("_only_probe"), F.col("_n")).alias("_known")), "points")
+    edges = points.groupBy("_slice").agg(F.min("_known").alias("_lo"), F.max("_known").alias("_hi"))
+    # One row per slice, so these ordered windows are as small as the number of tasks.
+    along = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select("_slice", F.max("_hi").over(along).alias("_prev"),
                          F.min("_lo").over(back).alias("_next"))
-    # Range frames exclude the probe's own value; both run from the near end, so each row
-    # only extends the running maximum or minimum.
-    up = Window.partitionBy("_bucket").orderBy("_n").rangeBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy("_bucket").orderBy(-F.col("_n")).rangeBetween(
-        Window.unboundedPreceding, -1)
-    inside = points.select("_bucket", "_n", "_probe", F.max("_known").over(up).alias("_below"),
+    # Numbers are distinct, so rows before a probe are below it. Both frames run from the near
+    # end: each row only extends the running maximum or minimum.
+    up = Window.partitionBy("_slice").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("_slice").orderBy(F.desc("_n")).rowsBetween(Window.unboundedPreceding, -1)
+    inside = points.select("_slice", "_n", "_probe", F.max("_known").over(up).alias("_below"),
                            F.min("_known").over(down).alias("_above")).where("_probe")
-    return inside.join(edges, "_bucket").select(
+    return inside.join(F.broadcast(edges), "_slice").select(
         F.col("_n").alias(number),
         F.coalesce("_below", "_prev").alias("closest_below"),
         F.coalesce("_above", "_next").alias("closest_above"),

@@ -1,5 +1,6 @@
 """Dataset operators against brute force, with hot keys, and the plans they give."""
 
+import bisect
 import random
 from datetime import datetime
 
@@ -62,8 +63,8 @@ def test_nearest_numbers(spark):
     probes = random.sample(range(50_000), 80) + known[:5]
     k = spark.createDataFrame([(n,) for n in known for _ in range(3)], "n bigint")
     p = spark.createDataFrame([(n,) for n in probes], "n bigint")
-    for width in (16, 1000, 1 << 20):
-        result = nearest_numbers(p, k, "n", width)
+    for slices in (1, 7, 64, None):
+        result = nearest_numbers(p, k, "n", slices)
         got = {r["n"]: (r["closest_below"], r["closest_above"]) for r in result.collect()}
         assert got == {n: (max((x for x in known if x < n), default=None),
                            min((x for x in known if x > n), default=None)) for n in probes}
@@ -71,6 +72,23 @@ def test_nearest_numbers(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_nearest_numbers_far_apart(spark):
+    """Sparse 64-bit ids, slices without a known number, and numbers that only probes hold."""
+    rng = random.Random(11)
+    known = sorted({rng.randrange(-1 << 62, 1 << 62) for _ in range(3000)})
+    probes = [rng.randrange(-1 << 62, 1 << 62) for _ in range(200)] + known[::500] + list(range(500)) + [
+        -1 << 63, (1 << 63) - 1, known[0] - 1, known[-1] + 1]
+    k = spark.createDataFrame([(n,) for n in known] + [(None,)], "n bigint").repartition(5)
+    p = spark.createDataFrame([(n,) for n in probes] + [(None,)], "n bigint")
+    result = nearest_numbers(p, k, "n", 40)
+    got = {r["n"]: (r["closest_below"], r["closest_above"]) for r in result.collect()}
+    at = {n: (bisect.bisect_left(known, n), bisect.bisect_right(known, n)) for n in probes}
+    assert got == {n: (known[a - 1] if a else None, known[b] if b < len(known) else None) for n, (a, b) in at.items()}
+    nothing = nearest_numbers(p, k.where("false"), "n").collect()
+    assert {(r["closest_below"], r["closest_above"]) for r in nothing} == {(None, None)}
+    assert nearest_numbers(p.where("false"), k, "n").collect() == []
+
+
 def test_ledger_null_keys(spark):
     schema = "payment_id string, amount decimal(18,2), payment_timestamp timestamp"
     t = datetime(2024, 1, 1)
