@@ -18,7 +18,7 @@ from ledgerlake.functions.text import clean_string, clean_strings, normalise_cat
 from ledgerlake.operators import audit, batches, dedup, keys, quality, scd2
 from ledgerlake.operators import ledger as booking
 from ledgerlake.plans import diagnose, landing, marts, star
-from ledgerlake.session import configure
+from ledgerlake.session import configure, materialise
 from ledgerlake.settings import LOAN_FILE_COLUMNS, PAYMENT_FILE_COLUMNS
 from ledgerlake.sources import calendar, payments as payment_source
 
@@ -233,10 +233,13 @@ def lnd_payment(spark, folder):
 @query
 def batch_counters(spark, folder):
     loans = v.with_source(v.loans_raw(spark, folder), "loans.csv")
-    loan_batch = landing.clean_loan_batch(loans, BATCH_TS, LOAN_ORDER)
+    loan_batch = landing.clean_loan_batch(loans, BATCH_TS, LOAN_ORDER, lambda df: materialise(df, "loans"))
     pays = v.with_source(v.payments_raw(spark, folder), "payments.jsonl")
-    pay_batch = landing.clean_payment_batch(pays, _booked(spark, folder), BATCH_TS, PAYMENT_ORDER)
-    of_loans = landing.loan_counters(loans, loan_batch, v.earlier_history(spark, folder))
+    pay_batch = landing.clean_payment_batch(
+        pays, _booked(spark, folder), BATCH_TS, PAYMENT_ORDER, lambda df: materialise(df, "payments"),
+        lambda df: materialise(df, "clean"))
+    changes = scd2.scd2_changes(v.earlier_history(spark, folder), loan_batch.incoming)
+    of_loans = landing.loan_counters(loans, loan_batch, changes)
     of_payments = landing.payment_counters(pays, pay_batch)
     return of_loans.withColumn("source", F.lit("loan")).unionByName(
         of_payments.withColumn("source", F.lit("payment")))
@@ -336,23 +339,26 @@ def latest_audit(spark, folder):
     return plain(audit.latest_audit(history))
 
 
-def _loan_checks(landed: v.Landed) -> DataFrame:
-    return quality.dq_loan(landed.lnd_loan, landed.loan_errors, landed.raw_loans,
-                           "dq_lnd_loan_2001-11-05", "lnd_loan", now())
+def _loan_checks(landed: v.Landed, families: tuple[str, ...] = quality.LOAN_FAMILIES,
+                 run_id: str = "dq_lnd_loan_2001-11-05", by_raw: bool = True) -> DataFrame:
+    volume = "volume" in families
+    return quality.dq_loan(landed.lnd_loan, landed.loan_errors if volume else None,
+                           landed.raw_loans if volume and by_raw else None, run_id,
+                           "lnd_loan" if by_raw else "lnd_loan by landed rows", now(), families=families)
 
 
-def _payment_checks(landed: v.Landed) -> DataFrame:
-    raw_rows = landed.raw_payments.agg(F.count("*").alias("n"))
-    return quality.dq_payment(landed.ledger, landed.payment_errors, raw_rows,
-                              "dq_lnd_payment_2001-11-05", "lnd_payment", now())
+def _payment_checks(landed: v.Landed, families: tuple[str, ...] = quality.PAYMENT_FAMILIES) -> DataFrame:
+    volume = "volume" in families
+    raw_rows = landed.raw_payments.agg(F.count("*").alias("n")) if volume else None
+    needs_ledger = families != ("volume",)
+    return quality.dq_payment(landed.ledger if needs_ledger else None, landed.payment_errors if volume else None, raw_rows,
+                              "dq_lnd_payment_2001-11-05", "lnd_payment", now(), families=families)
 
 
-def _all_checks(landed: v.Landed) -> DataFrame:
-    return _loan_checks(landed).unionByName(_payment_checks(landed))
-
-
-def _named(audit_rows: DataFrame, prefix: str) -> DataFrame:
-    return plain(audit_rows.where(F.col("check_name").startswith(prefix)).drop("run_id"))
+def _one_family(landed: v.Landed, family: str) -> DataFrame:
+    """One family of checks of both tables, and nothing else."""
+    both = _loan_checks(landed, (family,)).unionByName(_payment_checks(landed, (family,)))
+    return plain(both.drop("run_id"))
 
 
 @query
@@ -369,24 +375,23 @@ def dq_audit_payment(spark, folder):
 def dq_volume(spark, folder):
     """Acceptance by raw rows, and for loans also by landed rows of all versions."""
     landed = v.Landed(spark, folder)
-    by_landed = quality.dq_loan(landed.lnd_loan, landed.loan_errors, None, "run",
-                                "lnd_loan by landed rows", now())
-    return _named(by_landed.unionByName(_all_checks(landed)), "volume_")
+    by_landed = _loan_checks(landed, ("volume",), "run", by_raw=False)
+    return plain(by_landed.drop("run_id")).unionByName(_one_family(landed, "volume"))
 
 
 @query
 def dq_completeness(spark, folder):
-    return _named(_all_checks(v.Landed(spark, folder)), "completeness_")
+    return _one_family(v.Landed(spark, folder), "completeness")
 
 
 @query
 def dq_validity(spark, folder):
-    return _named(_all_checks(v.Landed(spark, folder)), "validity_")
+    return _one_family(v.Landed(spark, folder), "validity")
 
 
 @query
 def allocation_summary(spark, folder):
-    return _named(_payment_checks(v.Landed(spark, folder)), "allocation_")
+    return plain(_payment_checks(v.Landed(spark, folder), ("allocation",)).drop("run_id"))
 
 
 @query

@@ -16,6 +16,9 @@ from ..settings import (
 LOAN_DOMAINS = {
     "product_type": PRODUCT_TYPES, "status": LOAN_STATUSES, "origination_channel": LOAN_CHANNELS,
 }
+# Families of checks, in the order of their audit rows.
+LOAN_FAMILIES = ("volume", "uniqueness", "completeness", "validity")
+PAYMENT_FAMILIES = ("volume", "uniqueness", "info", "completeness", "validity", "allocation")
 AUDIT_COLUMNS = ("check_name", "check_result", "metric_value", "threshold", "breach_flag",
                  "detail")
 
@@ -62,8 +65,9 @@ def _long(one_row: DataFrame) -> DataFrame:
     return counts.unpivot([], names, "metric", "n")
 
 
-def _one_row(parts: list[DataFrame], names: list[str]) -> DataFrame:
+def _one_row(parts: list[DataFrame]) -> DataFrame:
     """Counts from several scans side by side, without joining them."""
+    names = [n for p in parts for n in p.columns]
     stacked = reduce(DataFrame.unionByName, [_long(p) for p in parts])
     return stacked.agg(*[F.max(F.when(F.col("metric") == n, F.col("n"))).alias(n)
                          for n in names])
@@ -128,32 +132,33 @@ def loan_counts(loans: DataFrame) -> DataFrame:
     )
 
 
-def dq_loan(loans: DataFrame, errors: DataFrame, raw: DataFrame | None, run_id: str,
-            table: str, checked_at: Column, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def dq_loan(loans: DataFrame, errors: DataFrame | None, raw: DataFrame | None, run_id: str,
+            table: str, checked_at: Column, rules: Rules = DEFAULT_RULES,
+            families: tuple[str, ...] = LOAN_FAMILIES) -> DataFrame:
     """Audit rows for the loan table.
 
     The volume check divides by the raw rows; without `raw` it divides by the landed rows of
-    all versions.
+    all versions. Only what the wanted `families` of checks need is read.
     """
-    counts = loan_counts(loans)
-    repeated = duplicate_keys(loans.where("is_current_flag"), ["loan_id"])
-    parts = [counts, _count(repeated, "duplicates"), _count(errors, "errors")]
-    names = [*counts.columns, "duplicates", "errors"]
-    if raw is not None:
-        parts.append(_count(raw, "raw_rows"))
-        names.append("raw_rows")
-    row = _one_row(parts, names)
-    total = F.col("all_rows" if raw is None else "raw_rows")
-    dup = F.col("duplicates")
-    checks = [
-        _volume(total, F.col("errors"), rules),
-        _gated("uniqueness_loan_id", dup, 0.0, dup > 0,
-               F.format_string("loan_ids held twice: %d", dup)),
-        *[_completeness(c, F.col(f"null_{c}"), F.col("current_rows"), rules)
-          for c in LOAN_CRITICAL_COLUMNS],
-        *[_validity(c, F.col(f"invalid_{c}"), f"{c} values") for c in LOAN_DOMAINS],
-    ]
-    return _audit(row, checks, run_id, table, checked_at)
+    parts, checks = [], []
+    if set(families) & {"completeness", "validity"} or ("volume" in families and raw is None):
+        parts.append(loan_counts(loans))
+    if "volume" in families:
+        parts.append(_count(errors, "errors"))
+        if raw is not None:
+            parts.append(_count(raw, "raw_rows"))
+        checks.append(_volume(F.col("all_rows" if raw is None else "raw_rows"), F.col("errors"), rules))
+    if "uniqueness" in families:
+        parts.append(_count(duplicate_keys(loans.where("is_current_flag"), ["loan_id"]), "duplicates"))
+        dup = F.col("duplicates")
+        checks.append(_gated("uniqueness_loan_id", dup, 0.0, dup > 0,
+                             F.format_string("loan_ids held twice: %d", dup)))
+    if "completeness" in families:
+        checks += [_completeness(c, F.col(f"null_{c}"), F.col("current_rows"), rules)
+                   for c in LOAN_CRITICAL_COLUMNS]
+    if "validity" in families:
+        checks += [_validity(c, F.col(f"invalid_{c}"), f"{c} values") for c in LOAN_DOMAINS]
+    return _audit(_one_row(parts), checks, run_id, table, checked_at)
 
 
 def payment_counts(payments: DataFrame) -> DataFrame:
@@ -167,36 +172,53 @@ def payment_counts(payments: DataFrame) -> DataFrame:
     )
 
 
-def dq_payment(payments: DataFrame, errors: DataFrame, raw_rows: DataFrame, run_id: str,
-               table: str, checked_at: Column, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Audit rows for the payment ledger.
+def repeated_payments(payments: DataFrame) -> DataFrame:
+    """One row: composite keys booked twice, and ids booked with more than one amount.
+
+    Both come from one scan. Rows shrink to one per composite key on the map side; those of an id
+    then shrink to one row again before the second, smaller shuffle.
+    """
+    combos = payments.groupBy("payment_id", "amount", "payment_timestamp").agg(F.count("*").alias("n"))
+    per_id = combos.groupBy("payment_id").agg(
+        F.count_if(F.col("n") > 1).alias("twice"), (F.min("amount") != F.max("amount")).alias("in_parts"))
+    return per_id.agg(F.coalesce(F.sum("twice"), F.lit(0)).alias("duplicates"), F.count_if("in_parts").alias("split"))
+
+
+def dq_payment(payments: DataFrame, errors: DataFrame | None, raw_rows: DataFrame | None, run_id: str,
+               table: str, checked_at: Column, rules: Rules = DEFAULT_RULES,
+               families: tuple[str, ...] = PAYMENT_FAMILIES) -> DataFrame:
+    """Audit rows for the payment ledger: one scan for all counters, one for repeated keys.
 
     `raw_rows` is one row and column: how many lines were read. Passing the number of raw
-    rows instead leaves unparseable lines out of the total.
+    rows instead leaves unparseable lines out of the total. Only what the wanted `families` of
+    checks need is read.
     """
-    counts = payment_counts(payments)
-    combos = duplicate_keys(payments, ["payment_id", "amount", "payment_timestamp"])
-    row = _one_row(
-        [counts, _count(combos, "duplicates"), _count(split_settlement_ids(payments), "split"),
-         _count(errors, "errors"), raw_rows.toDF("raw_rows")],
-        [*counts.columns, "duplicates", "split", "errors", "raw_rows"])
+    parts, checks = [], []
+    if set(families) & {"completeness", "validity", "allocation"}:
+        parts.append(payment_counts(payments))
+    if set(families) & {"uniqueness", "info"}:
+        parts.append(repeated_payments(payments))
+    if "volume" in families:
+        parts += [_count(errors, "errors"), raw_rows.toDF("raw_rows")]
+        checks.append(_volume(F.col("raw_rows"), F.col("errors"), rules))
     dup, split = F.col("duplicates"), F.col("split")
-    summary = F.concat_ws(", ", *[
-        F.concat(F.lit(f"{s}="), F.col(s).cast("string")) for s in ALLOCATION_STATUSES])
-    checks = [
-        _volume(F.col("raw_rows"), F.col("errors"), rules),
-        _gated("uniqueness_payment_id_amount_timestamp", dup, 0.0, dup > 0, F.format_string(
-            "booked twice (id, amount, instant): %d", dup)),
-        _check("info_split_settlement_payment_ids", F.lit("INFO"), split, F.lit(0.0),
-               F.lit(False), F.format_string(
-                   "ids paid in parts: %d", split)),
-        *[_completeness(c, F.col(f"null_{c}"), F.col("all_rows"), rules)
-          for c in PAYMENT_CRITICAL_COLUMNS],
-        _validity("payment_method_type", F.col("invalid_method"), "payment methods"),
-        _check("allocation_status_summary", F.lit("INFO"), F.col("allocated"),
-               F.col("all_rows"), F.lit(False), summary),
-    ]
-    return _audit(row, checks, run_id, table, checked_at)
+    if "uniqueness" in families:
+        checks.append(_gated("uniqueness_payment_id_amount_timestamp", dup, 0.0, dup > 0, F.format_string(
+            "booked twice (id, amount, instant): %d", dup)))
+    if "info" in families:
+        checks.append(_check("info_split_settlement_payment_ids", F.lit("INFO"), split, F.lit(0.0),
+                             F.lit(False), F.format_string("ids paid in parts: %d", split)))
+    if "completeness" in families:
+        checks += [_completeness(c, F.col(f"null_{c}"), F.col("all_rows"), rules)
+                   for c in PAYMENT_CRITICAL_COLUMNS]
+    if "validity" in families:
+        checks.append(_validity("payment_method_type", F.col("invalid_method"), "payment methods"))
+    if "allocation" in families:
+        summary = F.concat_ws(", ", *[
+            F.concat(F.lit(f"{s}="), F.col(s).cast("string")) for s in ALLOCATION_STATUSES])
+        checks.append(_check("allocation_status_summary", F.lit("INFO"), F.col("allocated"),
+                             F.col("all_rows"), F.lit(False), summary))
+    return _audit(_one_row(parts), checks, run_id, table, checked_at)
 
 
 def enforce(audit: DataFrame, on_breach: str = "raise") -> list[str]:

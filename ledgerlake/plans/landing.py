@@ -4,42 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import (
-    accepted, classify_loans, classify_payments, rejected, with_loan_hash,
+    REASON, accepted, classify_loans, classify_payments, rejected, with_loan_hash,
 )
 from ..operators.dedup import first_per_key, last_per_key
 from ..operators.keys import dense_keys, highest_key
 from ..operators.ledger import LEDGER_KEY, allocate, not_yet_booked
-from ..operators.scd2 import scd2_changes, scd2_merge
 from ..schemas import LND_ERR_LOAN, LND_ERR_PAYMENT, LND_PAYMENT, POSITION, conform
-from ..settings import DEFAULT_RULES, LOAN_FILE_COLUMNS, PAYMENT_FILE_COLUMNS, Rules
+from ..settings import LOAN_FILE_COLUMNS, PAYMENT_FILE_COLUMNS
 
 LINEAGE = ["_source_file", "_last_updated_ts"]
 Keep = Callable[[DataFrame], DataFrame]
 RAW_PAYMENT_KEY = ["payment_id", "amount", "payment_timestamp"]
 
 
-def counters(parts: dict[str, DataFrame]) -> DataFrame:
-    """Row counts of several DataFrames as rows (counter, n)."""
-    counted = [df.agg(F.lit(name).alias("counter"), F.count("*").alias("n"))
-               for name, df in parts.items()]
-    return reduce(DataFrame.unionByName, counted)
+def _as_counters(one_row: DataFrame) -> DataFrame:
+    """One row of counts as rows (counter, n)."""
+    return one_row.unpivot([], one_row.columns, "counter", "n")
+
+
+def as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def judged_counts() -> list[Column]:
+    """Of rows that were deduplicated and judged."""
+    return [F.count("*").alias("rows_deduplicated"), F.count_if(F.col(REASON).isNotNull()).alias("rows_rejected")]
+
+
+def fate_counts() -> list[Column]:
+    """Of the accepted loans with their `_action`."""
+    return [F.count_if(F.col("_action") == a).alias(f"rows_{a}") for a in ("new", "changed", "unchanged")]
 
 
 class LoanLanding(NamedTuple):
     incoming: DataFrame
     errors: DataFrame
-    deduplicated: DataFrame
-
-
-def as_is(df: DataFrame) -> DataFrame:
-    return df
+    judged: DataFrame
 
 
 def clean_loan_batch(raw_batch: DataFrame, rejected_at: datetime,
@@ -49,49 +55,43 @@ def clean_loan_batch(raw_batch: DataFrame, rejected_at: datetime,
     rows down, as accepted and rejected rows are both taken from them."""
     order = order or [POSITION]
     latest = last_per_key(raw_batch, "loan_id", F.struct(*order))
-    classified = keep(classify_loans(latest))
-    incoming = with_loan_hash(accepted(classified, [*LINEAGE, *order]))
+    judged = keep(classify_loans(latest))
+    incoming = with_loan_hash(accepted(judged, [*LINEAGE, *order]))
     stamp = F.lit(rejected_at).cast("timestamp")
-    errors = rejected(classified, [*LOAN_FILE_COLUMNS, *LINEAGE], stamp)
-    return LoanLanding(incoming, conform(errors, LND_ERR_LOAN), latest)
-
+    errors = rejected(judged, [*LOAN_FILE_COLUMNS, *LINEAGE], stamp)
+    return LoanLanding(incoming, conform(errors, LND_ERR_LOAN), judged)
 
-def land_loans(history: DataFrame, incoming: DataFrame, batch_ts: datetime,
-               rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """The loan table after the batch."""
-    return scd2_merge(history, incoming, batch_ts, rules)
 
-
-def loan_counters(raw_batch: DataFrame, landing: LoanLanding, history: DataFrame) -> DataFrame:
-    """rows_in, deduplicated, rejected, and what happens to the accepted rows."""
-    steps = counters({"rows_in": raw_batch, "rows_deduplicated": landing.deduplicated,
-                      "rows_rejected": landing.errors})
-    changes = scd2_changes(history, landing.incoming)
-    fates = changes.agg(*[F.count_if(F.col("_action") == a).alias(f"rows_{a}")
-                          for a in ("new", "changed", "unchanged")])
-    return steps.unionByName(fates.unpivot([], fates.columns, "counter", "n"))
+def loan_counters(raw_batch: DataFrame, landing: LoanLanding, changes: DataFrame) -> DataFrame:
+    """rows_in, deduplicated, rejected, and what `changes` says of the accepted rows: one scan
+    of each."""
+    return (_as_counters(raw_batch.agg(F.count("*").alias("rows_in")))
+            .unionByName(_as_counters(landing.judged.agg(*judged_counts())))
+            .unionByName(_as_counters(changes.agg(*fate_counts()))))
 
 
 class PaymentLanding(NamedTuple):
     new_rows: DataFrame
     errors: DataFrame
-    deduplicated: DataFrame
+    judged: DataFrame
     clean: DataFrame
 
 
 def clean_payment_batch(raw_batch: DataFrame, ledger: DataFrame, rejected_at: datetime,
-                        order: list[str] | None = None, keep: Keep = as_is) -> PaymentLanding:
+                        order: list[str] | None = None, keep: Keep = as_is,
+                        keep_clean: Keep = as_is, keep_new: Keep = as_is) -> PaymentLanding:
     """First occurrence per raw key, cleaning, first occurrence per typed key, then only what
-    the ledger does not hold yet."""
+    the ledger does not hold yet. The `keep` functions may write each step down, as more than
+    one later step reads it."""
     order = order or [POSITION]
     place = F.struct(*order)
     distinct = first_per_key(raw_batch, RAW_PAYMENT_KEY, place)
-    classified = keep(classify_payments(distinct))
-    clean = first_per_key(accepted(classified, [*LINEAGE, *order]), list(LEDGER_KEY), place)
+    judged = keep(classify_payments(distinct))
+    clean = keep_clean(first_per_key(accepted(judged, [*LINEAGE, *order]), list(LEDGER_KEY), place))
     stamp = F.lit(rejected_at).cast("timestamp")
-    errors = rejected(classified, [*PAYMENT_FILE_COLUMNS, *LINEAGE], stamp)
-    return PaymentLanding(not_yet_booked(clean, ledger), conform(errors, LND_ERR_PAYMENT),
-                          distinct, clean)
+    errors = rejected(judged, [*PAYMENT_FILE_COLUMNS, *LINEAGE], stamp)
+    return PaymentLanding(keep_new(not_yet_booked(clean, ledger)), conform(errors, LND_ERR_PAYMENT),
+                          judged, clean)
 
 
 def book_payments(new_rows: DataFrame, ledger: DataFrame, standing: DataFrame,
@@ -103,13 +103,17 @@ def book_payments(new_rows: DataFrame, ledger: DataFrame, standing: DataFrame,
     return conform(keyed, LND_PAYMENT)
 
 
+def split_settlement_count(judged: DataFrame) -> DataFrame:
+    """One row: the second and later distinct rows of an id, that is rows with an id minus ids."""
+    per_id = judged.where(F.col("payment_id").isNotNull()).groupBy("payment_id").agg(F.count("*").alias("n"))
+    return per_id.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows_split_settlement"))
+
+
 def payment_counters(raw_batch: DataFrame, landing: PaymentLanding) -> DataFrame:
-    """rows_in, rows after each deduplication, rejected, new, and split settlement rows: the
-    second and later distinct rows of an id, that is rows with an id minus distinct ids."""
-    steps = counters({"rows_in": raw_batch, "rows_deduplicated": landing.deduplicated,
-                      "rows_rejected": landing.errors, "rows_clean": landing.clean,
-                      "rows_inserted": landing.new_rows})
-    split = landing.deduplicated.agg(
-        F.lit("rows_split_settlement").alias("counter"),
-        (F.count("payment_id") - F.count_distinct("payment_id")).alias("n"))
-    return steps.unionByName(split)
+    """rows_in, rows after each deduplication, rejected, new, and split settlement rows."""
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        return _as_counters(df.agg(F.count("*").alias(name)))
+
+    return (rows(raw_batch, "rows_in").unionByName(_as_counters(landing.judged.agg(*judged_counts())))
+            .unionByName(rows(landing.clean, "rows_clean")).unionByName(rows(landing.new_rows, "rows_inserted"))
+            .unionByName(_as_counters(split_settlement_count(landing.judged))))

@@ -5,19 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.audit import audit_row, loan_duplicates, payment_duplicates
 from ..operators.ledger import loan_standing
-from ..operators.scd2 import not_superseded
+from ..operators.scd2 import not_superseded, scd2_changes
 from ..operators.quality import dq_loan, dq_payment, enforce
 from ..session import configure, materialise
 from ..settings import DEFAULT_RULES, Rules
 from ..sources.calendar import date_bounds, dim_date
 from ..sources.loans import read_loan_files
 from ..sources.payments import PaymentLines, read_payment_files
-from ..sources.tables import Lake
+from ..sources.tables import Lake, Release
 from . import landing, marts, star
 
 STAMP = "_last_updated_ts"
@@ -37,6 +37,7 @@ class Run:
     scope: str = "batch"
     counters: dict[str, int] = field(default_factory=dict)
     breaches: list[str] = field(default_factory=list)
+    _observations: list[tuple[str, Observation]] = field(default_factory=list)
 
     @property
     def now(self) -> Column:
@@ -46,10 +47,17 @@ class Run:
         """This batch's rows, or all batches' with `scope="all"`."""
         return df if self.scope == "all" else df.where(F.col(ts) == self.now)
 
-    def count(self, source: str, rows: DataFrame) -> None:
-        """Take over (counter, n) rows; there are a handful per step."""
-        for row in rows.collect():
-            self.counters[f"{source}.{row['counter']}"] = row["n"]
+    def observed(self, source: str, df: DataFrame, *counts: Column) -> DataFrame:
+        """`df`, whose counts are taken over once an action has run over it."""
+        observation = Observation()
+        self._observations.append((source, observation))
+        return df.observe(observation, *counts)
+
+    def take_counts(self) -> None:
+        """What the writes so far have counted along the way."""
+        for source, observation in self._observations:
+            self.counters |= {f"{source}.{name}": n for name, n in observation.get.items()}
+        self._observations = []
 
 
 def ingest_loans(run: Run, rows: DataFrame, source_file: str) -> None:
@@ -84,15 +92,16 @@ def land_loans(run: Run) -> None:
     if batch.isEmpty():
         run.counters["loan.rows_in"] = 0
         return
-    cleaned = landing.clean_loan_batch(batch, run.batch_ts,
-                                       keep=lambda df: materialise(df, "loans"))
-    history = lake.read("lnd_loan")
-    cleaned = cleaned._replace(incoming=materialise(
-        not_superseded(history, cleaned.incoming, run.batch_ts), "incoming-loans"))
-    run.count("loan", landing.loan_counters(batch, cleaned, history))
+    seen = run.observed("loan", batch, F.count(F.lit(1)).alias("rows_in"))
+    cleaned = landing.clean_loan_batch(seen, run.batch_ts, keep=lambda df: materialise(
+        run.observed("loan", df, *landing.judged_counts()), "loans"))
+    history = lake.history("lnd_loan")
+    current = history.current(cleaned.incoming)
+    changes = scd2_changes(current, not_superseded(current, cleaned.incoming, run.batch_ts))
+    changes = materialise(run.observed("loan", changes, *landing.fate_counts()), "loan-changes")
+    run.take_counts()
     lake.append_batch("lnd_err_loan", cleaned.errors, run.batch_ts)
-    lake.switch("lnd_loan", landing.land_loans(history, cleaned.incoming, run.batch_ts, run.rules),
-                run.batch_ts)
+    history.apply(changes, run.batch_ts, run.rules)
 
 
 def land_payments(run: Run) -> None:
@@ -104,9 +113,18 @@ def land_payments(run: Run) -> None:
         run.counters["payment.rows_in"] = 0
         return
     ledger = lake.read("lnd_payment")
-    cleaned = landing.clean_payment_batch(batch, ledger, run.batch_ts,
-                                          keep=lambda df: materialise(df, "payments"))
-    run.count("payment", landing.payment_counters(batch, cleaned))
+
+    def kept(name: str, *counts: Column):
+        return lambda df: materialise(run.observed("payment", df, *counts), name)
+
+    seen = run.observed("payment", batch, F.count(F.lit(1)).alias("rows_in"))
+    cleaned = landing.clean_payment_batch(
+        seen, ledger, run.batch_ts, keep=kept("payments", *landing.judged_counts()),
+        keep_clean=kept("clean-payments", F.count(F.lit(1)).alias("rows_clean")),
+        keep_new=kept("new-payments", F.count(F.lit(1)).alias("rows_inserted")))
+    run.take_counts()
+    # Ids are counted apart: distinct ones need a shuffle of their own.
+    run.counters["payment.rows_split_settlement"] = landing.split_settlement_count(cleaned.judged).head()[0]
     lake.append_batch("lnd_err_payment", cleaned.errors, run.batch_ts, ROW)
     ids = materialise(cleaned.new_rows.select("loan_id").distinct(), "batch-loans")
     standing = loan_standing(lake.read("lnd_loan").join(ids, "loan_id", "left_semi"),
@@ -141,39 +159,48 @@ def check_payments(run: Run) -> None:
     run.breaches += enforce(audit, run.on_breach)
 
 
-def build_star(run: Run) -> None:
-    """Staging, dimensions and facts, each a full refresh."""
+def build_star(run: Run, release: Release) -> dict[str, DataFrame]:
+    """Staging, dimensions and facts, each a full refresh into `release`; what it staged."""
     lake = run.lake
     loans, payments = lake.read("lnd_loan"), lake.read("lnd_payment")
-    lake.replace("stg_loan_payment",
-                 star.stg_loan_payment(loans, payments, run.as_of, run.now, run.rules))
-    lake.replace("dim_customer", star.dim_customer(loans, run.now))
-    lake.replace("dim_date", dim_date(lake.spark, *date_bounds(run.as_of)))
-    dates = lake.read("dim_date")
-    lake.replace("fct_loan", star.fct_loan(loans, payments, lake.read("dim_customer"), dates,
-                                           run.as_of, run.now, run.rules))
-    lake.replace("fct_payment", star.fct_payment(lake.read("stg_loan_payment"), dates, run.now))
+    made: dict[str, DataFrame] = {}
+
+    def stage(table: str, df: DataFrame) -> None:
+        made[table] = release.stage(table, df)
 
+    stage("stg_loan_payment", star.stg_loan_payment(loans, payments, run.as_of, run.now, run.rules))
+    stage("dim_customer", star.dim_customer(loans, run.now))
+    stage("dim_date", dim_date(lake.spark, *date_bounds(run.as_of)))
+    stage("fct_loan", star.fct_loan(loans, payments, made["dim_customer"], made["dim_date"], run.as_of, run.now, run.rules))
+    stage("fct_payment", star.fct_payment(made["stg_loan_payment"], made["dim_date"], run.now))
+    return made
 
-def build_marts(run: Run) -> None:
+
+def build_marts(run: Run, release: Release, facts: dict[str, DataFrame]) -> None:
+    """The marts of `facts`, into the same release."""
     lake = run.lake
-    lake.replace("mart_delinquency",
-                 marts.mart_delinquency(lake.read("fct_loan"), run.as_of, run.now))
-    lake.replace("mart_payment_anomaly",
-                 marts.mart_payment_anomaly(lake.read("fct_payment"), run.now, run.rules))
+    release.stage("mart_delinquency", marts.mart_delinquency(facts["fct_loan"], run.as_of, run.now))
+    release.stage("mart_payment_anomaly", marts.mart_payment_anomaly(facts["fct_payment"], run.now, run.rules))
     audit, checks = lake.read("raw_audit"), run.scoped(lake.read("lnd_dq_audit"), "checked_at")
 
     def health(name: str, ledger: DataFrame | None) -> marts.SourceHealth:
         raw, landed = f"raw_{name}", f"lnd_{name}"
         return marts.SourceHealth(
             name, run.scoped(lake.read(raw)), run.scoped(lake.read(f"lnd_err_{name}")),
-            lake.read(f"fct_{name}"), audit.where(F.col("source_table") == lake.name(raw)),
+            facts[f"fct_{name}"], audit.where(F.col("source_table") == lake.name(raw)),
             checks.where(F.col("table_name") == lake.name(landed)), ledger)
 
-    lake.replace("mart_data_observability", marts.mart_observability(
+    release.stage("mart_data_observability", marts.mart_observability(
         [health("loan", None), health("payment", lake.read("lnd_payment"))], run.as_of, run.now))
 
 
+def publish(run: Run) -> None:
+    """Star and marts are built beside the published ones and become visible together."""
+    release = run.lake.release()
+    build_marts(run, release, build_star(run, release))
+    release.publish()
+
+
 def run_batch(lake: Lake, loan_path: str, payment_path: str, batch_ts: datetime, as_of: date,
               rules: Rules = DEFAULT_RULES, on_breach: str = "raise", scope: str = "batch",
               multi_line: bool = True) -> Run:
@@ -185,6 +212,6 @@ def run_batch(lake: Lake, loan_path: str, payment_path: str, batch_ts: datetime,
                  loan_path.rsplit("/", 1)[-1])
     ingest_payments(run, read_payment_files(lake.spark, payment_path, batch_ts),
                     payment_path.rsplit("/", 1)[-1])
-    for step in (land_loans, land_payments, check_loans, check_payments, build_star, build_marts):
+    for step in (land_loans, land_payments, check_loans, check_payments, publish):
         step(run)
     return run

@@ -52,23 +52,50 @@ def line_problem(document: Column) -> Column:
     return problem
 
 
+# What a usable line holds, in the types of its JSON; the amount keeps its kind of number. The
+# line is read as the one element of an array, so that text behind its end is an error too.
+LINE_SCHEMA = (
+    "line array<struct<payment_id: string, loan_id: string, amount: variant, timestamp: string, "
+    "payment_method: struct<type: string, details: struct<last_four: string, bank: string>>, "
+    "metadata: struct<source: string, user_agent: string>>>, _corrupt string"
+)
+STRICT_JSON = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false",
+               "allowNonNumericNumbers": "false"}
+
+
+def _amount_text(number: Column) -> Column:
+    """A JSON decimal without a fraction loses its point; it is written back with one."""
+    text = clean_string(F.try_variant_get(number, "$", "string"))
+    whole = F.schema_of_variant(number).startswith("DECIMAL") & ~text.contains(".")
+    return F.when(whole, F.concat(text, F.lit(".0"))).otherwise(text)
+
+
 def flatten_lines(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Parse JSON lines: the nine raw text columns and `_problem`. Blank lines are dropped.
+    """Parse JSON lines: the nine raw text columns and `_problem`. Blank lines are dropped; of a
+    key that is repeated the last value counts.
+
+    Lines of the expected shape are read by their schema. Only the others, which are malformed or
+    have a parent of another type, are parsed without one to find out what is wrong.
 
     `lines` keeps its other columns.
     """
-    parsed = (
-        lines.withColumn(text, strip(F.col(text))).where(F.length(text) > 0)
-        .withColumn("_doc", F.try_parse_json(text))
-    )
-    fields = {name: clean_string(F.try_variant_get("_doc", path, "string"))
-              for name, path in PAYMENT_PATHS.items()}
-    # A JSON decimal without a fraction loses its point; it is written back with one.
-    amount = fields["amount"]
-    whole = _kind(F.col("_doc"), "$.amount").startswith("DECIMAL") & ~amount.contains(".")
-    fields["amount"] = F.when(whole, F.concat(amount, F.lit(".0"))).otherwise(amount)
-    return computed(parsed, {**fields, "_problem": line_problem(F.col("_doc"))},
-                    keep=lines.columns)
+    trimmed = lines.withColumn(text, strip(F.col(text))).where(F.length(text) > 0)
+    read = computed(trimmed, {"_read": F.from_json(
+        F.concat(F.lit('{"line": ['), F.col(text), F.lit("]}")), LINE_SCHEMA, STRICT_JSON)})
+    usable = (F.col("_read._corrupt").isNull() & (F.size("_read.line") == 1) & F.get("_read.line", F.lit(0)).isNotNull()
+              & F.col(text).startswith("{"))
+    parsed = computed(read, {"_line": F.when(usable, F.get("_read.line", F.lit(0)))}, keep=[*lines.columns]).withColumn(
+        "_doc", F.when(F.col("_line").isNull(), F.try_parse_json(text)))
+    fields = {}
+    for name, path in PAYMENT_PATHS.items():
+        known, other = F.col(f"_line{path[1:]}"), F.try_variant_get("_doc", path, "variant")
+        if name == "amount":
+            fields[name] = F.when(F.col("_line").isNotNull(), _amount_text(known)).otherwise(_amount_text(other))
+        else:
+            found = F.when(F.col("_line").isNotNull(), known).otherwise(F.try_variant_get("_doc", path, "string"))
+            fields[name] = clean_string(found)
+    problem = F.when(F.col("_line").isNull(), line_problem(F.col("_doc")))
+    return computed(parsed, {**fields, "_problem": problem}, keep=lines.columns)
 
 
 class PaymentLines(NamedTuple):

@@ -9,19 +9,54 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import TABLES, UNIQUE_KEYS, conform, required_columns_filled
+from .history import History
+from .storage import delete, subfolders
 
 BATCH = "_last_updated_ts"
 # Appended tables are laid out by batch so that one batch is one partition.
 PARTITIONED = {t: (BATCH,) for t in ("raw_loan", "raw_payment", "lnd_err_loan")}
 PARTITIONED |= {"lnd_err_payment": (BATCH, "_reject_kind"), "raw_audit": ("source_table", "batch_ts"),
                 "lnd_dq_audit": ("table_name", "checked_at")}
-VERSIONED = ("lnd_loan",)
+# Tables kept as a history of segments behind a view.
+HISTORIES = {"lnd_loan": "loan_id"}
 
 
 class DuplicateKey(ValueError):
     """A table with a unique key was about to receive a key twice."""
 
 
+class Release:
+    """Full refreshes of several tables under one switch: write, audit, publish.
+
+    `stage` writes a table beside the published one and gives it back for the tables that are
+    derived from it. Until `publish` nobody sees any of it, so whatever fails before, a write, a
+    check, a process, leaves all tables as they were. `publish` changes the tables' locations, one
+    catalog call each, and then deletes all versions but the new one and the one before it, which
+    may be being read.
+    """
+
+    def __init__(self, lake: Lake):
+        self.lake, self.version, self.staged = lake, uuid.uuid4().hex, {}
+
+    def stage(self, table: str, df: DataFrame) -> DataFrame:
+        lake = self.lake
+        folder = f"{lake.location(table)}/v={self.version}"
+        lake._ready(table, df).write.parquet(folder)
+        self.staged[table] = folder
+        return lake.spark.read.schema(lake.schema(table)).parquet(folder)
+
+    def publish(self) -> None:
+        lake = self.lake
+        before = {table: lake.version_of(table) for table in self.staged}
+        for table, folder in self.staged.items():
+            lake.spark.sql(f"ALTER TABLE {lake.name(table)} SET LOCATION '{folder}'")
+            lake.spark.catalog.refreshTable(lake.name(table))
+        for table, version in before.items():
+            for old in subfolders(lake.spark, lake.location(table)):
+                if old not in (version, f"v={self.version}"):
+                    delete(lake.spark, f"{lake.location(table)}/{old}")
+
+
 class Lake:
     """The tables of one environment: databases `<prefix>_<env>_<layer>` under `root`."""
 
@@ -50,6 +85,8 @@ class Lake:
             self._create_table(table)
 
     def _create_table(self, table: str) -> None:
+        if table in HISTORIES:
+            self.history(table).create()
         if self.exists(table):
             return
         parts = PARTITIONED.get(table, ())
@@ -57,7 +94,9 @@ class Lake:
         fields += [self.schema(table)[p] for p in parts]
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         by = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
-        folder = self.location(table) + ("/v=0" if table in VERSIONED else "")
+        folder = self.location(table)
+        if not parts:
+            folder += "/v=0"  # refreshed by switching to another version
         self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet {by} "
                        f"LOCATION '{folder}'")
         if parts and self._has_files(folder):
@@ -102,16 +141,22 @@ class Lake:
             session.catalog.dropTempView(view)
 
     def replace(self, table: str, df: DataFrame) -> None:
-        """Full refresh. `df` must not read the table it replaces."""
-        self._ready(table, df).write.insertInto(self.name(table), overwrite=True)
-
-    def switch(self, table: str, df: DataFrame, batch_ts: datetime) -> None:
-        """New version of a table derived from itself: written beside the old one, then made
-        current by changing the location, so readers never see a half-written table."""
-        folder = f"{self.location(table)}/v={batch_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
-        self._ready(table, df).write.parquet(folder)
-        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
-        self.spark.catalog.refreshTable(self.name(table))
+        """Full refresh of one table."""
+        release = self.release()
+        release.stage(table, df)
+        release.publish()
+
+    def release(self) -> Release:
+        """A set of full refreshes that are published together."""
+        return Release(self)
+
+    def version_of(self, table: str) -> str:
+        """The folder, below the table's own, that is published now."""
+        facts = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").where("col_name = 'Location'")
+        return facts.head()["data_type"].rstrip("/").rsplit("/", 1)[-1]
+
+    def history(self, table: str) -> History:
+        return History(self.spark, self.name(table), self.location(table), self.schema(table), HISTORIES[table])
 
     def inventory(self) -> DataFrame:
         """layer, namespace, table: what exists, in order."""
