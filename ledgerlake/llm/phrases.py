@@ -38,8 +38,9 @@ from ledgerlake.llm.common import store, text_batches
 
 PIECE_ENDS = ".,;:!?\x0b\x0c\r"
 UNKNOWN = "und"
+SLICES = 64
 # Different runs that a task holds before it sends them, and rows of a batch it sends.
-HELD, SENT = 500_000, 50_000
+HELD, SENT = 1_000_000, 50_000
 
 
 class Graph(NamedTuple):
@@ -67,10 +68,13 @@ def pieces_of(text: bytes | None) -> Iterator[list[str]]:
 
 
 def longest_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, node, tail, n: the edges and piece ends of the texts. An edge is its first node and its
-    last word; a piece's last two words, and its last, are nodes without a tail.
+    """node, tail, n: the edges and piece ends of the texts, and what they make of single words.
 
-    A task adds up what it reads in a bounded table and sends that sorted, as far as it goes.
+    An edge is its first node and its last word; a piece's last two words are a node without a
+    tail. Nodes stand behind their language and a tab. A task adds up what it reads in a bounded
+    table, and sums the runs that begin with a word, or end a piece with it, to a row of that word;
+    the word '' stands for all words of a language. Counts are sums over tasks in any case, so they
+    can be taken before or after the runs meet.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,14 +82,24 @@ def longest_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
         def rows() -> Iterator[pa.RecordBatch]:
             for lang, counter in held.items():
-                runs = sorted(counter)
-                for lo in range(0, len(runs), SENT):
-                    part = runs[lo:lo + SENT]
-                    cut = [run.rpartition(" ") if run.count(" ") == 2 else (run, "", "") for run in part]
+                words: Counter = Counter()
+                nodes, tails, counts = [], [], []
+                for gram, n in counter.items():
+                    first, _, rest = gram.partition(" ")
+                    words[first] += n
+                    if rest:
+                        second, _, tail = rest.partition(" ")
+                        nodes.append(f"{lang}\t{first} {second}")
+                        tails.append(tail)
+                        counts.append(n)
+                words[""] = sum(words.values())
+                nodes += [f"{lang}\t{w}" for w in words]
+                tails += [""] * len(words)
+                counts += words.values()
+                for lo in range(0, len(nodes), SENT):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([lang] * len(part), pa.string()), pa.array([c[0] for c in cut], pa.string()),
-                        pa.array([c[2] for c in cut], pa.string()), pa.array([counter[r] for r in part], pa.int64())],
-                        ["lang", "node", "tail", "n"])
+                        pa.array(nodes[lo:lo + SENT], pa.string()), pa.array(tails[lo:lo + SENT], pa.string()),
+                        pa.array(counts[lo:lo + SENT], pa.int64())], ["node", "tail", "n"])
             held.clear()
 
         for batch in batches:
@@ -102,28 +116,25 @@ def longest_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     text_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "lang string, node string, tail string, n long")
+    return rows.mapInArrow(run, "node string, tail string, n long")
 
 
 def counted(runs: DataFrame, least: int) -> DataFrame:
-    """Stored (kind, lang, gram, f): edges and ends (3), nodes (2) and words (1) with at least
-    `least` occurrences, and each language's number of words (0).
+    """Stored (kind, lang, gram, f): edges and ends (3), nodes and words (2) with at least `least`
+    occurrences; the word '' has each language's number of words.
 
-    The edges are dealt by their node, so that one shuffle serves them and the nodes; words need
-    one more, of the nodes' sums. The filters stand on the sums alone, which keeps the shuffle
-    the same for all.
+    The runs are dealt by their node, so that one shuffle serves edges, nodes and words. The
+    filters stand on the sums alone, which keeps the shuffle the same for both.
     """
-    dealt = runs.repartition("lang", "node")
-    edges = dealt.groupBy("lang", "node", "tail").agg(F.sum("n").alias("f"))
-    nodes = edges.groupBy("lang", "node").agg(F.sum("f").alias("f"))
-    words = nodes.groupBy("lang", F.substring_index("node", " ", 1).alias("gram")).agg(F.sum("f").alias("f"))
-    often = F.col("f") >= least
-    return store(edges.where(often).select(F.lit(3).alias("kind"), "lang", F.concat_ws(
-        " ", "node", F.when(F.col("tail") != "", F.col("tail"))).alias("gram"), "f")
-                 .unionByName(nodes.where(often).select(F.lit(2).alias("kind"), "lang", F.col("node").alias("gram"), "f"))
-                 .unionByName(words.where(often).select(F.lit(1).alias("kind"), "lang", "gram", "f"))
-                 .unionByName(words.groupBy("lang").agg(F.sum("f").alias("f")).select(
-                     F.lit(0).alias("kind"), "lang", F.lit("").alias("gram"), "f")), "grams")
+    edges = runs.repartition("node").groupBy("node", "tail").agg(F.sum("n").alias("f"))
+    nodes = edges.groupBy("node").agg(F.sum("f").alias("f"))
+    gram = F.substring_index("node", "\t", -1)
+    lang = F.expr("left(node, length(node) - length(substring_index(node, '\t', -1)) - 1)").alias("lang")
+    return store(
+        edges.where(F.col("f") >= least).select(
+            F.lit(3).alias("kind"), lang, F.concat_ws(" ", gram, F.when(F.col("tail") != "", F.col("tail"))).alias("gram"), "f")
+        .unionByName(nodes.where((F.col("f") >= least) | F.col("node").endswith("\t")).select(
+            F.lit(2).alias("kind"), lang, gram.alias("gram"), "f")), "grams")
 
 
 def _first(gram: str, n: int) -> Column:
@@ -132,12 +143,12 @@ def _first(gram: str, n: int) -> Column:
 
 def graph(docs: DataFrame, least: int = 10, text_col: str = "text", lang_col: str = "lang") -> Graph:
     grams = counted(longest_runs(docs, text_col, lang_col), least)
-    spaces = F.length("gram") - F.length(F.replace("gram", F.lit(" "), F.lit("")))
-    words, nodes = (grams.where((F.col("kind") == k) & (spaces == k - 1)).select("lang", "gram", "f") for k in (1, 2))
-    totals = grams.where("kind = 0").select("lang", F.col("f").alias("n"))
+    known, pair = grams.where("kind = 2").select("lang", "gram", "f"), F.col("gram").contains(" ")
+    words, nodes = known.where(~pair & (F.col("gram") != "")), known.where(pair)
+    totals = known.where("gram = ''").select("lang", F.col("f").alias("n"))
     begin, end = nodes.withColumnsRenamed({"gram": "begin", "f": "f_begin"}), nodes.withColumnsRenamed(
         {"gram": "end", "f": "f_end"})
-    edges = grams.where((F.col("kind") == 3) & (spaces == 2)).select(
+    edges = grams.where((F.col("kind") == 3) & F.col("gram").like("% % %")).select(
         "lang", "gram", "f", _first("gram", 2).alias("begin"), F.substring_index("gram", " ", -2).alias("end"))
     edges = store(edges.join(begin, ["lang", "begin"]).join(end, ["lang", "end"])
                   .withColumn("id", F.monotonically_increasing_id()), "edges")
@@ -213,7 +224,10 @@ def collocations(docs: DataFrame, least: int = 10, covered_percent: int = 50, to
                             F.when(early, F.col("fa")).otherwise(F.col("l2")).alias("l"),
                             F.when(early, F.col("r1")).otherwise(F.col("fz")).alias("r"),
                             F.least("s1", "s2").alias("score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # First the best of every slice of a language, so that what ranks a whole one is bounded.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    slices = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SLICES))).orderBy(*order)
+    some = scored.withColumn("rank", F.row_number().over(slices)).where(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(F.broadcast(g.totals), "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
