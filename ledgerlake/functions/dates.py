@@ -27,7 +27,14 @@ DATE_NOTATIONS = (
     (r"^\d{4}\.\d{1,2}\.\d{1,2}$", ("yyyy.M.d",)),
     (r"^\d{1,2}-\d{1,2}-\d{4}$", ("M-d-yyyy", "d-M-yyyy")),
     (r"^\d{1,2}\.\d{1,2}\.\d{4}$", ("M.d.yyyy", "d.M.yyyy")),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", ("M/d/yy", "d/M/yy")),
+    (r"^\d{1,2}-\d{1,2}-\d{2}$", ("M-d-yy", "d-M-yy")),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", ("d-MMM-yy",)),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", ("M/d/yyyy H:mm", "d/M/yyyy H:mm")),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", ("M/d/yyyy H:mm:ss", "d/M/yyyy H:mm:ss")),
 )
+# Years of two digits are of this century up to here, of the last one after it.
+LAST_SHORT_YEAR = 2075
 ISO_DATE_WITH_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
 
 # ISO-8601 shape -> the same instant written in full ($0 is the whole text).
@@ -59,10 +66,14 @@ def _first_shape(text: Column, cases: list[tuple[str, Column]]) -> Column:
 
 def parse_date(text: Column) -> Parsed:
     """DATE from text. The shape picks the format, so one value is parsed once or twice."""
-    cases = [
-        (shape, F.coalesce(*[F.try_to_date(text, f) for f in formats]))
-        for shape, formats in DATE_NOTATIONS
-    ]
+    text = F.when(text.contains("ept"), F.regexp_replace(text, r"(?i)\bsept\b", "Sep")).otherwise(text)
+
+    def day(formats: tuple[str, ...]) -> Column:
+        found = F.coalesce(*[F.try_to_date(text, f) for f in formats])
+        short = not any("yyyy" in f for f in formats)
+        return F.when(F.year(found) > LAST_SHORT_YEAR, F.add_months(found, -1200)).otherwise(found) if short else found
+
+    cases = [(shape, day(formats)) for shape, formats in DATE_NOTATIONS]
     # The whole text must be an instant; its own day counts, whatever its zone.
     instant = parse_timestamp(text).value
     cases.append((ISO_DATE_WITH_TIME, F.when(

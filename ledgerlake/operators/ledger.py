@@ -24,6 +24,17 @@ def not_yet_booked(incoming: DataFrame, ledger: DataFrame,
     return incoming.join(booked, same, "left_anti")
 
 
+def within_reach(ledger: DataFrame, incoming: DataFrame, column: str = "payment_timestamp") -> DataFrame:
+    """The ledger rows whose `column`, a part of the key, lies between the incoming rows' smallest
+    and largest, or is NULL: no other row can have an incoming row's key.
+
+    Both bounds are scalar subqueries, so they reach the scan as values and row groups of other
+    times are skipped. `incoming` should be a stored table.
+    """
+    low, high = (incoming.select(f(column)).scalar() for f in (F.min, F.max))
+    return ledger.where(((F.col(column) >= low) & (F.col(column) <= high)) | F.col(column).isNull())
+
+
 def loan_standing(current_loans: DataFrame, raw_loans: DataFrame,
                   key: str = "loan_id") -> DataFrame:
     """One row per known loan id: whether it is clean, or was seen in raw only."""

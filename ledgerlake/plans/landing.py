@@ -14,7 +14,7 @@ from ..functions.cleaning import (
 )
 from ..operators.dedup import first_per_key, last_per_key
 from ..operators.keys import dense_keys, highest_key
-from ..operators.ledger import LEDGER_KEY, allocate, not_yet_booked
+from ..operators.ledger import LEDGER_KEY, allocate, not_yet_booked, within_reach
 from ..schemas import LND_ERR_LOAN, LND_ERR_PAYMENT, LND_PAYMENT, POSITION, conform
 from ..settings import LOAN_FILE_COLUMNS, PAYMENT_FILE_COLUMNS
 
@@ -90,7 +90,8 @@ def clean_payment_batch(raw_batch: DataFrame, ledger: DataFrame, rejected_at: da
     clean = keep_clean(first_per_key(accepted(judged, [*LINEAGE, *order]), list(LEDGER_KEY), place))
     stamp = F.lit(rejected_at).cast("timestamp")
     errors = rejected(judged, [*PAYMENT_FILE_COLUMNS, *LINEAGE], stamp)
-    return PaymentLanding(keep_new(not_yet_booked(clean, ledger)), conform(errors, LND_ERR_PAYMENT),
+    reached = ledger if keep_clean is as_is else within_reach(ledger, clean)
+    return PaymentLanding(keep_new(not_yet_booked(clean, reached)), conform(errors, LND_ERR_PAYMENT),
                           judged, clean)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.audit import audit_row, loan_duplicates, payment_duplicates
+from ..operators.batches import with_age
 from ..operators.ledger import loan_standing
 from ..operators.scd2 import not_superseded, scd2_changes
 from ..operators.quality import dq_loan, dq_payment, enforce
@@ -91,6 +92,7 @@ def land_loans(run: Run) -> None:
     batch = lake.read("raw_loan").where(F.col(STAMP) == run.now)
     if batch.isEmpty():
         run.counters["loan.rows_in"] = 0
+        lake.clear_batch("lnd_err_loan", run.batch_ts)
         return
     seen = run.observed("loan", batch, F.count(F.lit(1)).alias("rows_in"))
     cleaned = landing.clean_loan_batch(seen, run.batch_ts, keep=lambda df: materialise(
@@ -111,6 +113,7 @@ def land_payments(run: Run) -> None:
     batch = lake.read("raw_payment").where(F.col(STAMP) == run.now)
     if batch.isEmpty():
         run.counters["payment.rows_in"] = 0
+        lake.clear_batch("lnd_err_payment", run.batch_ts, ROW)
         return
     ledger = lake.read("lnd_payment")
 
@@ -134,11 +137,12 @@ def land_payments(run: Run) -> None:
 
 def check_loans(run: Run) -> None:
     """Write the loan checks, then stop the run on a breach. Nothing to check without rows."""
+    lake, run_id = run.lake, f"dq_lnd_loan_{run.batch_ts:%Y-%m-%d}"
     if run.counters["loan.rows_in"] == 0:
+        lake.clear_batch("lnd_dq_audit", run.batch_ts, lake.name("lnd_loan"))
         return
-    lake, run_id = run.lake, f"dq_lnd_loan_{run.batch_ts:%Y-%m-%d}"
     audit = materialise(dq_loan(
-        lake.read("lnd_loan"), run.scoped(lake.read("lnd_err_loan")),
+        lake.read("lnd_loan"), run.scoped(lake.read_or_empty("lnd_err_loan")),
         run.scoped(lake.read("raw_loan")), run_id, lake.name("lnd_loan"), run.now, run.rules), "dq")
     lake.append_batch("lnd_dq_audit", audit, run.batch_ts, lake.name("lnd_loan"))
     run.breaches += enforce(audit, run.on_breach)
@@ -148,11 +152,12 @@ def check_payments(run: Run) -> None:
     """Write the payment checks, then stop the run on a breach. Nothing to check without lines."""
     lake, run_id = run.lake, f"dq_lnd_payment_{run.batch_ts:%Y-%m-%d}"
     if run.counters["payment.rows_in"] == 0 and lake.read("lnd_err_payment").where(F.col(STAMP) == run.now).isEmpty():
+        lake.clear_batch("lnd_dq_audit", run.batch_ts, lake.name("lnd_payment"))
         return
     lines = run.scoped(lake.read("raw_audit"), "batch_ts").where(
         F.col("source_table") == lake.name("raw_payment"))
     audit = materialise(dq_payment(
-        lake.read("lnd_payment"), run.scoped(lake.read("lnd_err_payment")),
+        lake.read("lnd_payment"), run.scoped(lake.read_or_empty("lnd_err_payment")),
         lines.agg(F.coalesce(F.sum("total_rows_in_file"), F.lit(0))), run_id, lake.name("lnd_payment"), run.now,
         run.rules), "dq")
     lake.append_batch("lnd_dq_audit", audit, run.batch_ts, lake.name("lnd_payment"))
@@ -181,12 +186,12 @@ def build_marts(run: Run, release: Release, facts: dict[str, DataFrame]) -> None
     lake = run.lake
     release.stage("mart_delinquency", marts.mart_delinquency(facts["fct_loan"], run.as_of, run.now))
     release.stage("mart_payment_anomaly", marts.mart_payment_anomaly(facts["fct_payment"], run.now, run.rules))
-    audit, checks = lake.read("raw_audit"), run.scoped(lake.read("lnd_dq_audit"), "checked_at")
+    audit, checks = lake.read_or_empty("raw_audit"), run.scoped(lake.read_or_empty("lnd_dq_audit"), "checked_at")
 
     def health(name: str, ledger: DataFrame | None) -> marts.SourceHealth:
         raw, landed = f"raw_{name}", f"lnd_{name}"
         return marts.SourceHealth(
-            name, run.scoped(lake.read(raw)), run.scoped(lake.read(f"lnd_err_{name}")),
+            name, run.scoped(lake.read(raw)), run.scoped(lake.read_or_empty(f"lnd_err_{name}")),
             facts[f"fct_{name}"], audit.where(F.col("source_table") == lake.name(raw)),
             checks.where(F.col("table_name") == lake.name(landed)), ledger)
 
@@ -201,6 +206,26 @@ def publish(run: Run) -> None:
     release.publish()
 
 
+def rebuild(lake: Lake, as_of: date, rules: Rules = DEFAULT_RULES, scope: str = "batch") -> Run:
+    """Star and marts anew from the landed tables, reporting on the newest batch. The catalog's
+    partition list says which one that is; tables of a part that hasn't run yet count as empty."""
+    configure(lake.spark)
+    newest = lake.newest_batch("raw_loan", "raw_payment")
+    if newest is None:
+        raise ValueError("no batch has been ingested yet")
+    run = Run(lake, newest, as_of, rules, scope=scope)
+    publish(run)
+    return run
+
+
+def freshness_report(lake: Lake, at: datetime, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """source_name, latest_batch_ts, freshness_hours and is_stale per source at an instant, by the
+    rules' limit. Batches are listed in the catalog; no data file is read."""
+    rows = [(name, lake.newest_batch(f"raw_{name}")) for name in ("loan", "payment")]
+    newest = lake.spark.createDataFrame(rows, "source_name string, latest_batch_ts timestamp")
+    return with_age(newest, F.lit(at).cast("timestamp"), rules.stale_after_hours)
+
+
 def run_batch(lake: Lake, loan_path: str, payment_path: str, batch_ts: datetime, as_of: date,
               rules: Rules = DEFAULT_RULES, on_breach: str = "raise", scope: str = "batch",
               multi_line: bool = True) -> Run:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ BATCH = "_last_updated_ts"
 PARTITIONED = {t: (BATCH,) for t in ("raw_loan", "raw_payment", "lnd_err_loan")}
 PARTITIONED |= {"lnd_err_payment": (BATCH, "_reject_kind"), "raw_audit": ("source_table", "batch_ts"),
                 "lnd_dq_audit": ("table_name", "checked_at")}
+STAMPS = (BATCH, "batch_ts", "checked_at")
 # Tables kept as a history of segments behind a view.
 HISTORIES = {"lnd_loan": "loan_id"}
 
@@ -119,6 +121,27 @@ class Lake:
     def read_if_exists(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
+    def read_or_empty(self, table: str) -> DataFrame:
+        """The table, or no rows while it doesn't exist yet."""
+        found = self.read_if_exists(table)
+        return self.spark.createDataFrame([], self.schema(table)) if found is None else found
+
+    def batches(self, table: str) -> list[datetime]:
+        """Instants of the batches in a table laid out by batch, oldest first, batches without rows
+        included. Partitions are listed in the catalog; no data file is read."""
+        if not self.exists(table):
+            return []
+        column = next(c for c in PARTITIONED[table] if c in STAMPS)
+        found = set()
+        for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect():
+            values = dict(part.split("=", 1) for part in row["partition"].split("/"))
+            found.add(datetime.fromisoformat(unquote(values[column])))
+        return sorted(found)
+
+    def newest_batch(self, *tables: str) -> datetime | None:
+        """The instant of the newest batch in any of the tables."""
+        return max((b for t in tables for b in self.batches(t)[-1:]), default=None)
+
     def append(self, table: str, df: DataFrame) -> None:
         self._ready(table, df).write.mode("append").insertInto(self.name(table))
 
@@ -129,8 +152,7 @@ class Lake:
         columns = PARTITIONED[table]
         ready = self._ready(table, df).drop(*columns)
         instant = f"TIMESTAMP '{batch_ts:%Y-%m-%d %H:%M:%S.%f}'"
-        stamps = (BATCH, "batch_ts", "checked_at")
-        where = ", ".join(f"{c} = {instant if c in stamps else repr(part)}" for c in columns)
+        where = ", ".join(f"{c} = {instant if c in STAMPS else repr(part)}" for c in columns)
         view = f"batch_{uuid.uuid4().hex}"
         ready.createOrReplaceTempView(view)
         session = ready.sparkSession
@@ -140,6 +162,11 @@ class Lake:
         finally:
             session.catalog.dropTempView(view)
 
+    def clear_batch(self, table: str, batch_ts: datetime, part: str | None = None) -> None:
+        """Drop the rows of a batch that an earlier run of it left, if there are any."""
+        if batch_ts in self.batches(table):
+            self.append_batch(table, self.spark.createDataFrame([], self.schema(table)), batch_ts, part)
+
     def replace(self, table: str, df: DataFrame) -> None:
         """Full refresh of one table."""
         release = self.release()

@@ -57,6 +57,15 @@ def test_dates(one):
     assert dict(zip(values, got)) == values
 
 
+def test_more_dates(one):
+    values = {"3/7/21": "2021-03-07", "25/12/75": "2075-12-25", "1-2-76": "1976-01-02", "14-Feb-99": "1999-02-14",
+              "29/02/96": "1996-02-29", "29/02/23": BAD, "Sept 3, 2021": "2021-09-03", "3 sept 2021": "2021-09-03",
+              "3-Sept-2021": "2021-09-03", "September 3, 2021": "2021-09-03", "08/19/2020 7:05": "2020-08-19",
+              "19/08/2020 23:59:59": "2020-08-19", "08/19/2020 24:00": BAD, "08/19/2020 x": BAD, "1/2/3": BAD}
+    got = one(lambda c: outcome(parse_date(c)), *values)
+    assert dict(zip(values, got)) == values
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_timestamps(spark, one, zone):
     at = "2024-06-30 11:58:00"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import batches, dedup, quality
 from ledgerlake.operators.keys import dense_keys, highest_key
-from ledgerlake.operators.ledger import allocate, loan_standing, not_yet_booked
+from ledgerlake.operators.ledger import allocate, loan_standing, not_yet_booked, within_reach
 from ledgerlake.operators.neighbours import nearest_numbers
 from ledgerlake.operators.scd2 import scd2_changes
 
@@ -99,6 +99,20 @@ def test_ledger_null_keys(spark):
     assert got == {("P1", None), ("P3", t)}
 
 
+def test_ledger_within_reach(spark, tmp_path):
+    """Row groups of other times are skipped; NULL instants and the edges stay."""
+    schema = "payment_id string, amount decimal(18,2), payment_timestamp timestamp"
+    rows = [(f"P{i}", None, datetime(2024, 1 + i // 28, 1 + i % 28)) for i in range(300)] + [("N", None, None)]
+    spark.createDataFrame(rows, schema).coalesce(1).sortWithinPartitions("payment_timestamp").write.parquet(str(tmp_path / "ledger"))
+    ledger = spark.read.parquet(str(tmp_path / "ledger"))
+    new = spark.createDataFrame([("P5", None, rows[5][2]), ("P9", None, rows[8][2]), ("N", None, None), ("P4", None, rows[4][2])], schema)
+    reached = within_reach(ledger, new)
+    assert {r[0] for r in reached.collect()} == {"P4", "P5", "P6", "P7", "P8", "N"}
+    assert {r[0] for r in not_yet_booked(new, reached).collect()} == {"P9"} == {r[0] for r in not_yet_booked(new, ledger).collect()}
+    assert "PushedFilters" in plan_of(reached)
+    assert [r[0] for r in within_reach(ledger, new.where("false")).collect()] == ["N"]
+
+
 def test_allocation(spark):
     current = spark.createDataFrame([("L1", True), ("L2", False)], "loan_id string, is_current_flag boolean")
     raw = spark.createDataFrame([("L1",), ("L2",), ("L3",), (None,)], "loan_id string")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import lending_files as files
 from ledgerlake.operators.quality import DQGateError
 from ledgerlake.plans import pipeline, star
+from ledgerlake.settings import Rules
 from ledgerlake.sources.loans import MissingColumns, has_quoted_line_breaks, read_loan_files
 from ledgerlake.sources.files import SourceNotFound
 from ledgerlake.sources.payments import read_payment_files
@@ -210,6 +211,36 @@ def test_batches_again_and_an_empty_one(spark, tmp_path):
     assert all(now[t] == want[0][t] for t in LANDED if t != "raw_audit") and len(now["raw_audit"]) == 6
 
 
+def test_batches_are_known_from_the_catalog(spark, tmp_path):
+    lake = new_lake(spark, tmp_path)
+    with pytest.raises(ValueError, match="no batch"):
+        pipeline.rebuild(lake, AS_OF)
+    run = pipeline.run_batch(lake, *files.write(tmp_path / "a"), TS1, AS_OF, on_breach="record")
+    assert lake.batches("raw_loan") == [TS1] == lake.batches("raw_audit") and lake.batches("lnd_dq_audit") == [TS1]
+    assert lake.newest_batch("raw_loan", "raw_payment") == TS1 and lake.newest_batch("lnd_dq_audit") == TS1
+    report = {r["source_name"]: (float(r["freshness_hours"]), r["is_stale"])
+              for r in pipeline.freshness_report(lake, TS2, Rules(stale_after_hours=23.0)).collect()}
+    assert report == {"loan": (24.0, True), "payment": (24.0, True)}
+    assert not any(r["is_stale"] for r in pipeline.freshness_report(lake, TS2).collect())
+    # Checks that were never made count as none.
+    spark.sql(f"DROP TABLE {lake.name('lnd_dq_audit')}")
+    assert lake.read_if_exists("lnd_dq_audit") is None and lake.read_or_empty("lnd_dq_audit").isEmpty()
+    again = pipeline.rebuild(lake, AS_OF)
+    assert again.batch_ts == run.batch_ts
+    health = {r["source_name"]: (r["dq_checks_run"], r["raw_rows_in_batch"]) for r in rows(lake, "mart_data_observability", "source_name")}
+    assert health == {"loan": (0, 12), "payment": (0, 12)}
+
+
+def test_a_batch_that_comes_again_empty(spark, tmp_path):
+    """What an earlier run of the batch rejected and checked goes with its rows."""
+    lake = new_lake(spark, tmp_path)
+    pipeline.run_batch(lake, *files.write(tmp_path / "a"), TS1, AS_OF, on_breach="record")
+    assert lake.read("lnd_err_loan").count() == 4 and lake.read("lnd_err_payment").count() == 2
+    pipeline.run_batch(lake, *files.write(tmp_path / "b", [], []), TS1, AS_OF, on_breach="record")
+    for table in ("raw_loan", "raw_payment", "lnd_err_loan", "lnd_err_payment", "lnd_dq_audit"):
+        assert lake.read(table).isEmpty(), table
+
+
 def test_stream_equals_batch(spark, tmp_path):
     from ledgerlake.streaming.incremental import stream_loans, stream_payments
 
