@@ -84,8 +84,11 @@ def flatten_lines(lines: DataFrame, text: str = "value") -> DataFrame:
         F.concat(F.lit('{"line": ['), F.col(text), F.lit("]}")), LINE_SCHEMA, STRICT_JSON)})
     usable = (F.col("_read._corrupt").isNull() & (F.size("_read.line") == 1) & F.get("_read.line", F.lit(0)).isNotNull()
               & F.col(text).startswith("{"))
-    parsed = computed(read, {"_line": F.when(usable, F.get("_read.line", F.lit(0)))}, keep=[*lines.columns]).withColumn(
-        "_doc", F.when(F.col("_line").isNull(), F.try_parse_json(text)))
+    # Parsing alone would stop at the end of the first value, whatever follows it.
+    values = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit("]"))), "$", "array<variant>")
+    parsed = computed(read, {"_line": F.when(usable, F.get("_read.line", F.lit(0)))}, keep=[*lines.columns])
+    parsed = computed(parsed, {"_values": F.when(F.col("_line").isNull(), values)}).withColumn(
+        "_doc", F.when(F.size("_values") == 1, F.get("_values", F.lit(0))))
     fields = {}
     for name, path in PAYMENT_PATHS.items():
         known, other = F.col(f"_line{path[1:]}"), F.try_variant_get("_doc", path, "variant")

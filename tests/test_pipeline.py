@@ -325,6 +325,27 @@ def test_wrong_parents(spark, tmp_path):
     assert out.bad.count() == 6
 
 
+def test_lines_of_odd_json(spark, tmp_path):
+    """The last of repeated keys counts; text behind an object, other quotes and NaN make no line."""
+    path = tmp_path / "p.jsonl"
+    path.write_text("\n".join([
+        '{"payment_id": "P0", "payment_id": "P1", "amount": 1.50, "amount": 12345678901.25}',
+        '{"payment_id": "P2", "metadata": {"source": "a"}, "metadata": {"user_agent": "b"}, "unknown": [{"x": {}}]}',
+        '  {"payment_id": "P3", "loan_id": 77, "amount": "1e3", "payment_method": {"type": true, "details": null}}  ',
+        '{"payment_id": "P4 }, {", "loan_id": "a\\"b\\u00e9"}',
+        '{"payment_id": "X1"} trailing', '{"payment_id": "X2"} {"payment_id": "X3"}', '[{"payment_id": "X4"}]',
+        "{'payment_id': 'X5'}", '{"payment_id": "X6", "amount": NaN}', '{"payment_id": "X7"', '"text"', '{"payment_id": "X8"}, {"payment_id": "X9"}']))
+    out = read_payment_files(spark, str(path), TS1)
+    good = {r["payment_id"]: r for r in out.good.collect()}
+    assert set(good) == {"P1", "P2", "P3", "P4 }, {"}
+    assert good["P1"]["amount"] == "12345678901.25"
+    assert (good["P2"]["metadata_source"], good["P2"]["metadata_user_agent"]) == (None, "b")
+    assert (good["P3"]["loan_id"], good["P3"]["amount"], good["P3"]["payment_method_type"]) == ("77", "1e3", "true")
+    assert good["P4 }, {"]["loan_id"] == 'a"bé'
+    reasons = sorted(r["_rejection_reason"] for r in out.bad.collect())
+    assert [r.split(":")[0] for r in reasons] == sorted(f"Line {n}" for n in range(5, 13))
+
+
 def test_table_rules(spark, tmp_path):
     lake = new_lake(spark, tmp_path)
     lake.create()
