@@ -225,6 +225,31 @@ def test_repeated_passages_beyond_the_first_occurrence(spark):
     assert all(10 * (r["id"] // 10) + 2 in r["kept_ids"] for r in got)
 
 
+def test_every_word_of_a_shared_run_is_covered(spark):
+    """Random texts that share passages of all lengths, whole, nested, adjoining and in copies."""
+    rng = np.random.default_rng(8)
+    pool = [[f"p{n}x{i}" for i in range(int(rng.integers(40, 140)))] for n in range(12)]
+    rows = []
+    for d in range(60):
+        words = []
+        for _ in range(int(rng.integers(1, 6))):
+            own = [f"o{d}x{int(x)}" for x in rng.integers(0, 10 ** 6, int(rng.integers(0, 40)))]
+            part = pool[int(rng.integers(len(pool)))]
+            lo = int(rng.integers(0, 30))
+            words += own + part[lo:lo + int(rng.integers(30, 150))]
+        rows.append((d, " ".join(words)))
+    texts = {d: t.split() for d, t in rows}
+    holders = {}
+    for d, w in texts.items():
+        for i in range(len(w) - 50):
+            holders.setdefault(tuple(w[i:i + 51]), set()).add(d)
+    need = {(d, j) for d, w in texts.items() for i in range(len(w) - 50) if len(holders[tuple(w[i:i + 51])]) > 1
+            for j in range(i, i + 51)}
+    got = repeats.repeated_passages(documents(spark, rows)).collect()
+    covered = {(r["id"], j) for r in got for j in range(r["first_word"], r["first_word"] + r["n_words"])}
+    assert len(need) > 2000 and not need - covered
+
+
 def test_mix_reaches_targets(spark):
     rows = [(i, " ".join(["w"] * (1 + i * 7 % 40)), f"s{i % 4}") for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
