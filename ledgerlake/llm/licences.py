@@ -1,13 +1,18 @@
 """Licence scan by canonical digests, in DataFrame functions only.
 
-A text's canonical form is in lower case, without copyright lines, with every run of other
+A text's canonical form is in lower case, without copyright notices, with every run of other
 characters than letters and digits as one space, and with one spelling of words that licences
-spell differently. Whole documents, their paragraphs and their lines are digested in that form
-and joined to the digests of known licence texts, so only entire texts match.
+spell differently. A copyright notice is a line that begins, behind any comment marks, with
+`copyright` and holds a year or a sign, or that begins with a sign or `all rights reserved`.
+Digests of whole documents, of their lines, and of every run of consecutive paragraphs as long as
+a known text may be, are joined to the digests of known licence texts: a licence is found whole,
+alone or beside other text, under a title, in comment marks, with its paragraphs set apart or not.
 
 Null texts, and texts that are empty in canonical form, match nothing; known texts that are empty
-in it are left out. A document has one row per licence, however often it occurs. Rows that repeat
-an id are pooled; null ids form one document.
+in it are left out. A document has one row per licence, however often it occurs; equal passages of
+a document count once. Rows that repeat an id are pooled; null ids form one document. A text of
+any length is one row of paragraphs; only those that begin like a known text are digested. Other
+columns may have any names.
 """
 
 from __future__ import annotations
@@ -27,10 +32,25 @@ SPELLINGS = [
     ("licences", "licenses"), ("modelled", "modeled"), ("noncommercial", "non commercial"), ("organisation", "organization"),
     ("organised", "organized"), ("per cent", "percent"), ("programme", "program"), ("realise", "realize"),
     ("recognise", "recognize"), ("sub license", "sublicense"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful")]
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright\b|©|\(c\)|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = (r"(?m)^[ \t#*;%/<!-]*(?:copyright\b[^\n]*(?:\(c\)|©|\b[12][0-9][0-9][0-9]\b)|©|\(c\)|all rights reserved)[^\n]*$")
+# Known texts are looked for in up to so many more paragraphs than they are written in here.
+MORE_PARAGRAPHS = 2
+# Known texts may begin with up to so many different words for texts to be told by them.
+MOST_FIRSTS = 10_000
 OTHER = r"[^\p{L}\p{N}\n]+"
 
-# Public notices and short licence texts.
+# Public notices and licence texts.
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions "
+        "and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list "
+        "of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+        "{third}\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
+        "ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+        "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
 KNOWN = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
                    "This project is licensed under the Apache License, Version 2.0.",
@@ -67,23 +87,50 @@ KNOWN = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC0-1.0": ["Licensed under CC0 1.0.", "Released under CC0 1.0."],
-    "BSD-3-Clause": ["Released under the BSD License.", "Licensed under the BSD 3-Clause License."],
+    "BSD-3-Clause": ["Released under the BSD License.", "Licensed under the BSD 3-Clause License.",
+                     _BSD.format(third="\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used "
+                                       "to endorse or promote products derived from this software without specific prior written "
+                                       "permission.")],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", _BSD.format(third="")],
+    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this "
+             "software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject "
+             "to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim "
+             "that you wrote the original software. If you use this software in a product, an acknowledgment in the product "
+             "documentation would be appreciated but is not required.\n\n2. Altered source versions must be plainly marked as "
+             "such, and must not be misrepresented as being the original software.\n\n3. This notice may not be removed or "
+             "altered from any source distribution."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.",
+                "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, "
+                "execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties "
+                "to whom the Software is furnished to do so, all subject to the following:\n\nThe copyright notices in the "
+                "Software and this entire statement, including the above license grant, this restriction and the following "
+                "disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the "
+                "Software, unless such copies or derivative works are solely in the form of machine-executable object code "
+                "generated by a source language processor.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+                "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+                "PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE "
+                "BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+                "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
                 "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
 }
 
 
 def canonical_lines(text: Column) -> Column:
-    """Canonical form but for spellings, line feeds kept."""
+    """Canonical form but for spellings: lines as single, paragraphs as double line feeds."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), OTHER, " ")
-    return F.regexp_replace(plain, " ?\n ?", "\n")
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, " ?\n ?", "\n"), "\n{3,}", "\n\n"), F.lit(" \n"))
 
 
 def canonical(lines: Column) -> Column:
-    """From canonical lines to the canonical form of the whole."""
-    out = F.concat(F.lit(" "), F.translate(lines, "\n", " "), F.lit(" "))
+    """From canonical lines to the canonical form of the whole. Every word has spaces of its own
+    while spellings are replaced, so that neighbours don't share one."""
+    out = F.concat(F.lit(" "), F.replace(F.translate(lines, "\n", " "), F.lit(" "), F.lit("  ")), F.lit(" "))
     for spelt, canon in SPELLINGS:
-        out = F.replace(out, F.lit(f" {spelt} "), F.lit(f" {canon} "))
+        old, new = (" " + x.replace(" ", "  ") + " " for x in (spelt, canon))
+        out = F.replace(out, F.lit(old), F.lit(new))
     return F.trim(F.regexp_replace(out, " +", " "))
 
 
@@ -94,28 +141,44 @@ def known_licences(spark: SparkSession) -> DataFrame:
 
 
 def digests(known: DataFrame) -> DataFrame:
-    """Stored: licence_id, digest, first (the canonical form's first word)."""
-    form = canonical(canonical_lines(F.col("text")))
-    return store(known.select("licence_id", form.alias("form")).where("form != ''").select(
+    """Stored: licence_id, digest, first (the canonical form's first word), paragraphs."""
+    lines = known.select("licence_id", canonical_lines(F.col("text")).alias("lines"))
+    return store(lines.select("licence_id", canonical(F.col("lines")).alias("form"), F.size(F.split("lines", "\n\n")).alias("paragraphs"))
+                 .where("form != ''").select(
         "licence_id", F.sha2(F.col("form").cast("binary"), 256).alias("digest"),
-        F.substring_index("form", " ", 1).alias("first")).distinct(), "licence-digests")
+        F.substring_index("form", " ", 1).alias("first"), "paragraphs").distinct(), "licence-digests")
+
+
+def _beginnings(table: DataFrame) -> set[str] | None:
+    """First words, in any spelling, of texts that may be known ones; None if that could be any."""
+    firsts = {r["first"] for r in table.select("first").distinct().limit(MOST_FIRSTS + 1).collect()}
+    if len(firsts) > MOST_FIRSTS:
+        return None
+    return firsts | {spelt.split()[0] for spelt, canon in SPELLINGS if canon.split()[0] in firsts}
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, licence_id, whole (the document is nothing else), n_texts (its paragraphs and lines that are)."""
+    """id, licence_id, whole (the document is nothing else), n_texts (its different passages that are)."""
     table = digests(known)
-    small = broadcast_if_small(table)
-    lines = docs.select(F.col(id_col).alias("id"), F.trim(
-        canonical_lines(F.col(text_col)), F.lit(" \n")).alias("text")).where("text != ''")
-    parts = F.array_distinct(F.concat(F.array("text"), F.split("text", "\n{2,}"), F.split("text", "\n+")))
-    units = lines.select("id", F.explode(F.transform(parts, lambda p: F.struct(
+    longest = (table.agg(F.max("paragraphs")).head()[0] or 0) + MORE_PARAGRAPHS
+    firsts = _beginnings(table)
+
+    def likely(text: Column) -> Column:
+        if firsts is None:
+            return F.lit(True)
+        word = F.regexp_extract(text, "^[^ \n]*", 0)
+        return word.isin(*sorted(firsts)) if firsts else F.lit(False)
+
+    lines = docs.select(F.col(id_col).alias("id"), canonical_lines(F.col(text_col)).alias("text")).where("text != ''")
+    split = lines.select("id", "text", F.split("text", "\n\n").alias("paragraphs"))
+    begins = F.filter(F.sequence(F.lit(0), F.size("paragraphs") - 1), lambda i: likely(F.get("paragraphs", i)))
+    runs = F.flatten(F.transform(begins, lambda i: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.size("paragraphs") - i)),
+        lambda m: F.array_join(F.slice("paragraphs", i + 1, m), "\n\n"))))
+    single = F.filter(F.split("text", "\n+"), likely)
+    whole = F.filter(F.array("text"), likely)
+    units = split.select("id", F.explode(F.transform(F.array_distinct(F.concat(whole, runs, single)), lambda p: F.struct(
         (p == F.col("text")).alias("whole"), p.alias("part")))).alias("u")).select("id", "u.whole", "u.part")
-    # Most texts begin with a word that no known text begins with; theirs need no digest. Four
-    # words are enough to settle the spelling of the first.
-    head = F.regexp_extract("part", "^(?:[^ \n]+[ \n]){0,3}[^ \n]*", 0)
-    likely = units.withColumn("first", F.substring_index(canonical(head), " ", 1)).join(
-        F.broadcast(table.select("first").distinct()) if small is not table else table.select("first").distinct(),
-        "first", "left_semi")
-    found = likely.select("id", "whole", F.sha2(canonical(F.col("part")).cast("binary"), 256).alias("digest"))
-    return found.join(small.select("licence_id", "digest"), "digest").groupBy("id", "licence_id").agg(
+    found = units.select("id", "whole", F.sha2(canonical(F.col("part")).cast("binary"), 256).alias("digest"))
+    return found.join(broadcast_if_small(table.select("licence_id", "digest").distinct()), "digest").groupBy("id", "licence_id").agg(
         F.max("whole").alias("whole"), F.count("*").alias("n_texts"))

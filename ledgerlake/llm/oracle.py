@@ -6,6 +6,8 @@ expressed in SQL; brute-force versions, exact round trips and held-out rows test
 
 from __future__ import annotations
 
+import functools
+
 from ledgerlake.llm import licences
 
 ORACLE: dict[str, str] = {}
@@ -106,38 +108,44 @@ FROM d JOIN reach ON reach.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP
 """
 
 
-def _canonical_lines(text: str) -> str:
-    plain = f"regexp_replace(lower({text}), '{licences.COPYRIGHT_LINE}', '', 'g')"
-    plain = f"regexp_replace({plain}, '{licences.OTHER}', ' ', 'g')"
-    return f"regexp_replace({plain}, ' ?\\n ?', '\\n', 'g')".replace("'\\n'", "chr(10)")
-
-
-def _canonical(lines: str) -> str:
-    out = f"' ' || translate({lines}, chr(10), ' ') || ' '"
-    for spelt, canon in licences.SPELLINGS:
-        out = f"replace({out}, ' {spelt} ', ' {canon} ')"
-    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
-
-
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-ORACLE["op9_licence_scan"] = f"""
-WITH k AS (
-  SELECT licence_id, {_canonical(_canonical_lines("t"))} AS form
-  FROM (VALUES {", ".join(f"({_text(name)}, {_text(t)})" for name, texts in licences.KNOWN.items() for t in texts)}) AS v(licence_id, t)),
-d AS (
-  SELECT DISTINCT licence_id, sha256(form) AS digest FROM k WHERE form <> ''),
-l AS (
-  SELECT doc_id, trim({_canonical_lines("text")}, ' ' || chr(10)) AS t FROM documents),
-u AS (
-  SELECT doc_id, t, unnest(list_distinct([t] || regexp_split_to_array(t, '\\n{{2,}}') || regexp_split_to_array(t, '\\n+'))) AS part
-  FROM l WHERE t <> '')
-SELECT doc_id, licence_id, bool_or(part = t) AS whole, count(*) AS n_texts
-FROM u JOIN d ON sha256({_canonical("part")}) = digest
-GROUP BY doc_id, licence_id
-"""
+# Licences in SQL: texts are lists of words, paragraphs lists of such lists. Only the known texts and
+# the table of spellings are the operator's.
+ORACLE["op9_licence_scan"] = r"""
+WITH known AS (SELECT row_number() OVER () AS kid, licence_id, t FROM (VALUES @known) AS v(licence_id, t)),
+texts AS (
+  SELECT 'k' AS side, kid AS r, NULL AS doc_id, licence_id, t FROM known
+  UNION ALL SELECT 'd', row_number() OVER (), doc_id, NULL, text FROM documents),
+bare AS (
+  SELECT side, r, doc_id, licence_id,
+    list_transform(string_split(lower(t), chr(10)), lambda l:
+      CASE WHEN regexp_matches(l, '^[ \x09#*;%/<!-]*(©|\(c\)|all rights reserved)')
+             OR (regexp_matches(l, '^[ \x09#*;%/<!-]*copyright\b') AND regexp_matches(l, 'copyright\b.*(\(c\)|©|\b[12][0-9]{3}\b)'))
+           THEN '' ELSE trim(regexp_replace(l, '[^\p{L}\p{N}]+', ' ', 'g')) END) AS ls
+  FROM texts WHERE t IS NOT NULL),
+joined AS (
+  SELECT side, r, doc_id, licence_id,
+    trim(regexp_replace(array_to_string(ls, chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS t FROM bare),
+parts AS (
+  SELECT side, r, doc_id, licence_id, t, string_split(t, chr(10) || chr(10)) AS ps FROM joined WHERE t <> ''),
+long AS (SELECT max(len(ps)) + 2 AS m FROM parts WHERE side = 'k'),
+units AS (
+  SELECT side, r, doc_id, licence_id, t, t AS part FROM parts
+  UNION SELECT side, r, doc_id, licence_id, t, unnest(regexp_split_to_array(t, '\n+')) FROM parts WHERE side = 'd'
+  UNION SELECT side, r, doc_id, licence_id, t, array_to_string(ps[i:i + n - 1], chr(10) || chr(10)) FROM (
+    SELECT *, unnest(range(1, least(m, len(ps) - i + 1) + 1)) AS n FROM (
+      SELECT *, unnest(range(1, len(ps) + 1)) AS i FROM parts, long WHERE side = 'd'))),
+forms AS (
+  SELECT *, @form AS form FROM (SELECT *, ' ' || replace(replace(part, chr(10), ' '), ' ', '  ') || ' ' AS p FROM units))
+SELECT d.doc_id, k.licence_id, bool_or(d.part = d.t) AS whole, count(*) AS n_texts
+FROM forms d JOIN (SELECT DISTINCT licence_id, form FROM forms WHERE side = 'k' AND form <> '') k ON d.form = k.form
+WHERE d.side = 'd' GROUP BY d.doc_id, k.licence_id
+""".replace("@known", ", ".join(f"({_text(name)}, {_text(t)})" for name, texts in licences.KNOWN.items() for t in texts)).replace("@form", functools.reduce(
+        lambda form, pair: "replace({}, ' {} ', ' {} ')".format(form, *(x.replace(" ", "  ") for x in pair)),
+        licences.SPELLINGS, "p").join(("trim(regexp_replace(", ", ' +', ' ', 'g'))")))
 
 ORACLE["op12_hard_negatives"] = r"""
 WITH v AS (

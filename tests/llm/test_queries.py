@@ -288,13 +288,36 @@ def test_pages_with_text_in_sibling_containers(spark):
     assert pages.main_text(rows[0][2], None) == want[0]
 
 
-def test_licences(spark):
-    mit = licences.KNOWN["MIT"][-1]
-    rows = [(1, "Copyright (c) 2020 Someone\n\n" + mit.upper()), (2, "Text before.\nreleased under the mit licence\nafter"), (3, None),
-            (4, ""), (5, "Released under the MIT License, or not."), (6, "(c) nobody"), (7, "some text\n\n" + mit + "\n\nmore text")]
+def test_licences(spark, tmp_path):
+    mit, bsd = licences.KNOWN["MIT"][-1], licences.KNOWN["BSD-3-Clause"][-1]
+    wrapped = mit.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS OR\nCOPYRIGHT HOLDERS")
+    commented = "\n".join("# " + line for line in ("Copyright 2020 Someone\n\n" + mit).split("\n"))
+    want = {1: ("Copyright (c) 2020 Someone\n\n" + mit.upper(), "MIT", True),
+            2: ("Text before.\nreleased under the mit licence\nafter", "MIT", False),
+            7: ("some text\n\n" + mit + "\n\nmore text", "MIT", False),
+            8: ("MIT License\n\nCopyright (c) 2021 A. N. Other\n\n" + mit, "MIT", False),
+            9: (commented, "MIT", True), 10: ("head\n\n" + wrapped, "MIT", False),
+            11: ("// (c) us\n\n" + mit.replace("\n\n", "\n"), "MIT", True),
+            12: ("x\n\n" + bsd.replace(" 2. ", "\n\n2. ").replace("holder", "owner"), "BSD-3-Clause", False),
+            13: ("Licensed under the MIT Licence.\n\n\n\nLicensed under the MIT License.", "MIT", False),
+            16: ("long " * 20000 + "\n\n" + mit + "\n\n" + "text " * 20000, "MIT", False)}
+    none = {3: None, 4: "", 5: "Released under the MIT License, or not.", 6: "(c) nobody", 14: mit.replace("free of charge", "for money"),
+            15: mit[:-20]}
+    rows = [(i, w[0]) for i, w in want.items()] + list(none.items())
     got = licences.scan(documents(spark, rows), licences.known_licences(spark)).collect()
-    assert {(r["id"], r["licence_id"], r["whole"]) for r in got} >= {(1, "MIT", True), (2, "MIT", False)}
-    assert {r["id"] for r in got} == {1, 2}
+    assert {(r["id"], r["licence_id"], r["whole"]) for r in got} == {(i, w[1], w[2]) for i, w in want.items()}
+    assert {r["id"]: r["n_texts"] for r in got}[13] == 2
+    folder = str(tmp_path / "sf")
+    documents(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    with duckdb.connect() as sql:
+        sql.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+        rows = sql.sql(ORACLE["op9_licence_scan"]).fetchall()
+    assert sorted(rows) == sorted((r["id"], r["licence_id"], r["whole"], r["n_texts"]) for r in got)
+
+
+def test_spellings_of_neighbouring_words(spark):
+    df = spark.createDataFrame([("Licence licence, per cent PER CENT",)], "t string")
+    assert df.select(licences.canonical(licences.canonical_lines(df.t))).head()[0] == "license license percent percent"
 
 
 def test_empty_tables(spark, tmp_path):
