@@ -79,10 +79,17 @@ def longest_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
+        singles: dict[str, Counter] = {}  # the words' sums, kept over several tables of runs
 
-        def rows() -> Iterator[pa.RecordBatch]:
+        def sent(nodes: list[str], tails: list[str], counts: list[int]) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(nodes), SENT):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(nodes[lo:lo + SENT], pa.string()), pa.array(tails[lo:lo + SENT], pa.string()),
+                    pa.array(counts[lo:lo + SENT], pa.int64())], ["node", "tail", "n"])
+
+        def rows(last: bool) -> Iterator[pa.RecordBatch]:
             for lang, counter in held.items():
-                words: Counter = Counter()
+                words = singles.setdefault(lang, Counter())
                 nodes, tails, counts = [], [], []
                 for gram, n in counter.items():
                     first, _, rest = gram.partition(" ")
@@ -92,15 +99,13 @@ def longest_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                         nodes.append(f"{lang}\t{first} {second}")
                         tails.append(tail)
                         counts.append(n)
-                words[""] = sum(words.values())
-                nodes += [f"{lang}\t{w}" for w in words]
-                tails += [""] * len(words)
-                counts += words.values()
-                for lo in range(0, len(nodes), SENT):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(nodes[lo:lo + SENT], pa.string()), pa.array(tails[lo:lo + SENT], pa.string()),
-                        pa.array(counts[lo:lo + SENT], pa.int64())], ["node", "tail", "n"])
+                yield from sent(nodes, tails, counts)
             held.clear()
+            if last or sum(map(len, singles.values())) > HELD // 2:
+                for lang, words in singles.items():
+                    words[""] = sum(words.values())
+                    yield from sent([f"{lang}\t{w}" for w in words], [""] * len(words), list(words.values()))
+                singles.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -111,8 +116,8 @@ def longest_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                     if len(words) > 1:
                         counter[f"{words[-2]} {words[-1]}"] += 1
                 if sum(map(len, held.values())) > HELD:
-                    yield from rows()
-        yield from rows()
+                    yield from rows(False)
+        yield from rows(True)
 
     text_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("binary").alias("text"))
