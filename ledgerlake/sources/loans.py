@@ -33,7 +33,7 @@ def loan_rows(lines: DataFrame, batch_ts: datetime, columns: list[str]) -> DataF
     """
     stamped = with_lineage(lines.select("value", "_metadata"), batch_ts).drop("_metadata")
     records = whole_records(stamped, POSITION)
-    named = F.lower(F.regexp_replace("value", '[\\s"﻿]', ""))
+    named = F.lower(F.regexp_replace("value", '[\\s"\\uFEFF]', ""))
     expected = ",".join(columns).lower().replace(" ", "").replace('"', "")
     fail = F.raise_error(F.concat(F.lit("the header of "), F.col("_source_file"), F.lit(" has other columns")))
     is_row = F.when(~F.col("_header"), True).when(named == expected, False).otherwise(fail.cast("boolean"))
