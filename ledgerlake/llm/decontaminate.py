@@ -10,7 +10,9 @@ window of its own length; its run of words is then its fingerprint.
 Null and empty texts have no words: nothing is hit, and an item without words has no window.
 Windows that several items share count for each of them; rows that repeat an item id are one
 item; items without an id count under the empty id. Work is done per distinct text, so rows that
-repeat a text or an id are safe and each gets its result.
+repeat a text or an id are safe and each gets its result. Texts of any length are read whole, as one
+row of words. Of the documents only the id and the text are read; `clean_documents` hands on all
+columns, whatever their names.
 """
 
 from __future__ import annotations

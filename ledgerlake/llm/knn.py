@@ -11,7 +11,7 @@ by themselves and their few best per query are merged.
 Vectors that are null or hold a null or a non-finite component take no part. Only vectors of
 equal length are compared. Equal scores go to the smaller id; rows that repeat an id are ranked as
 rows, but a query's own id is never a candidate, and rows that repeat a query id pool their results. Fewer candidates than k give fewer ranks; empty input gives none. Components
-whose scaled size passes 2^53 are computed in Python integers; scores saturate at 64 bits.
+whose scaled size passes 2^53 are computed in Python integers; scores saturate at 64 bits. Vectors of any length are one row. Only the id and the vector are read.
 """
 
 from __future__ import annotations

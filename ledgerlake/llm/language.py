@@ -6,7 +6,9 @@ the labelled rows as prior, the prediction is the most probable language and the
 posterior probability. Ties go to the language that sorts first.
 
 Null texts, and texts without a letter, are `und` with score 0; so is every text if no labelled
-row is given. Rows without a language, or without a text, teach nothing. Whole texts count.
+row is given. Rows without a language, or without a text, teach nothing. Texts of any length count whole;
+their words are scored once a batch. Other columns are handed on, whatever their names but
+_language.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ Words that are frequent enough to be among the `TOP` most frequent travel to the
 bounded table; every other word occurrence meets its counts in a join. Both give the same values.
 
 Null and empty texts are their end alone. Rows that repeat an id or a text each get their score.
-Without training rows N and V are 0.
+Without training rows N and V are 0. Texts and words of any length are read whole. Only the id,
+the text and what the training condition names are read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,10 @@ one slice in which the sample ends; only that slice of a slice is ordered.
 
 Null and empty texts have size 0 and take 0 words. Null sources are a source of their own, last
 in order. Rows of a source with the same rank (a repeated or null id) are taken or left
-together. A source without words has target 0. Empty input gives an empty mix.
+together. A source without words has target 0. Empty input gives an empty mix. Texts
+of any length are read whole, for their number of words. Columns may have any names but _mix and
+_mix_copy. Sources are few: a row per source is ordered in one task, so a column with a value of its
+own for every document is no source column.
 """
 
 from __future__ import annotations

@@ -35,7 +35,7 @@ h AS (SELECT r, dw.m, p, item_id FROM dw JOIN iw ON dw.m = iw.m AND dw.win = iw.
 hit AS (SELECT r, count(DISTINCT q) AS n_hit
         FROM (SELECT r, unnest(range(p, p + m)) AS q FROM h) GROUP BY r),
 its AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
-        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY r)
+        FROM (SELECT DISTINCT r, coalesce(CAST(item_id AS VARCHAR), '') AS x FROM h) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

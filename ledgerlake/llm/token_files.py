@@ -14,7 +14,8 @@ or 4 bytes.
 
 Null texts count as empty: such a document is its end id alone. Documents that share an id
 follow each other, in order of their texts. A null id comes first. Empty input gives empty
-tables. Only the id and the text column are read, whatever else the input holds.
+tables. Only the id and the text column are read, whatever else the input holds. Ids are
+integers; other ids, such as text, stop the job. Texts of any length are encoded whole, in one task.
 """
 
 from __future__ import annotations
