@@ -24,6 +24,8 @@ def nearest_numbers(probes: DataFrame, known: DataFrame, number: str,
         asked.unionByName(have).where(F.col("_n").isNotNull()).groupBy("_n")
         .agg(F.max("_probe").alias("_probe"), F.min("_probe").alias("_only_probe"))
     )
+    # Written first: cutting ranges samples its input, which would be evaluated twice.
+    distinct = materialise(distinct, "numbers")
     ranged = (distinct.repartitionByRange("_n") if slices is None
               else distinct.repartitionByRange(slices, "_n"))
     points = materialise(ranged.select(
