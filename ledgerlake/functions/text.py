@@ -14,7 +14,10 @@ WHITESPACE = (
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Without surrounding whitespace. Text that begins and ends with a printable ASCII character
+    has none, and is passed on without a look at every character."""
+    bare = (c >= "!") & (c < "\x7f") & F.right(c, F.lit(1)).between("!", "~")
+    return F.when(bare, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def clean_string(c: Column) -> Column:

@@ -13,7 +13,7 @@ from ..operators.batches import with_age
 from ..operators.ledger import loan_standing
 from ..operators.scd2 import not_superseded, scd2_changes
 from ..operators.quality import dq_loan, dq_payment, enforce
-from ..session import configure, materialise
+from ..session import configure_parsing, materialise
 from ..settings import DEFAULT_RULES, Rules
 from ..sources.calendar import date_bounds, dim_date
 from ..sources.loans import read_loan_files
@@ -209,7 +209,7 @@ def publish(run: Run) -> None:
 def rebuild(lake: Lake, as_of: date, rules: Rules = DEFAULT_RULES, scope: str = "batch") -> Run:
     """Star and marts anew from the landed tables, reporting on the newest batch. The catalog's
     partition list says which one that is; tables of a part that hasn't run yet count as empty."""
-    configure(lake.spark)
+    configure_parsing(lake.spark)
     newest = lake.newest_batch("raw_loan", "raw_payment")
     if newest is None:
         raise ValueError("no batch has been ingested yet")
@@ -230,7 +230,7 @@ def run_batch(lake: Lake, loan_path: str, payment_path: str, batch_ts: datetime,
               rules: Rules = DEFAULT_RULES, on_breach: str = "raise", scope: str = "batch",
               multi_line: bool = True) -> Run:
     """All steps in order. A breached gate stops before staging unless `on_breach="record"`."""
-    configure(lake.spark)
+    configure_parsing(lake.spark)
     run = Run(lake, batch_ts, as_of, rules, on_breach, scope)
     lake.create()
     ingest_loans(run, read_loan_files(lake.spark, loan_path, batch_ts, multi_line),
