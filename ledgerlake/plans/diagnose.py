@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.neighbours import nearest_numbers
 from ..operators.quality import orphans
+from ..session import materialise
 
 ID_PREFIX = "L"
 
@@ -44,9 +45,12 @@ def orphan_sample(payments: DataFrame, raw_loans: DataFrame, rows: int = 10) ->
 
 
 def nearest_ids(payments: DataFrame, raw_loans: DataFrame) -> DataFrame:
-    """For each orphan loan id, the closest existing loan numbers below and above."""
-    strays = (orphans(payments, raw_loans, "loan_id").select("loan_id").distinct()
-              .withColumn("orphan_num", id_number(F.col("loan_id"))))
+    """For each orphan loan id, the closest existing loan numbers below and above.
+
+    The orphan ids are written down: both the search and the last join read them.
+    """
+    strays = materialise(orphans(payments.select("loan_id").distinct(), raw_loans, "loan_id"), "strays")
+    strays = strays.withColumn("orphan_num", id_number(F.col("loan_id")))
     known = raw_loans.select(id_number(F.col("loan_id")).alias("orphan_num"))
     found = nearest_numbers(strays, known, "orphan_num")
     return strays.join(found, "orphan_num", "left").select(
