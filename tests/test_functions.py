@@ -171,3 +171,11 @@ def test_payment_rules(spark):
                    "payment_id=P2: amount is no number: 'abc'",
                    "payment_id is missing",
                    "payment_id=P3: payment_timestamp is no instant: 'x'", None]
+
+
+def test_strip_at_both_ends(one):
+    from ledgerlake.functions.text import WHITESPACE, strip
+
+    texts = ["", "a", "!", "~", "\x7f", "a b", "é", "é ", " é", "a\u3000", *[w + "a" for w in WHITESPACE],
+             *["a" + w for w in WHITESPACE], *[w + "a b" + w for w in WHITESPACE], *WHITESPACE]
+    assert one(strip, *texts) == [t.strip(WHITESPACE) for t in texts]

@@ -12,6 +12,7 @@ from ledgerlake.operators.keys import dense_keys, highest_key
 from ledgerlake.operators.ledger import allocate, loan_standing, not_yet_booked, within_reach
 from ledgerlake.operators.neighbours import nearest_numbers
 from ledgerlake.operators.scd2 import scd2_changes
+from ledgerlake.plans import diagnose, landing
 
 
 def plan_of(df):
@@ -163,3 +164,54 @@ def test_gate_and_boundaries(spark):
     assert quality.enforce(twice, "record")
     empty = quality.dq_loan(none, none, none, "r", "t", F.current_timestamp())
     assert empty.count() == 5
+
+
+def test_dedup_by_named_order_shuffles_nothing_twice(spark):
+    random.seed(11)
+    rows = [(i, random.choice(["a", "b", None]), float(random.choice(["-0.0", "1.5"])), random.choice([None, 1, 2]))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "pos int, k string, x double, m int").repartition(5)
+    first, last = {}, {}
+    for row in rows:
+        first.setdefault((row[1], row[2], row[3]), row)
+        last[row[1] if row[1] is not None else row[0]] = row
+    got = dedup.first_per_key(df, ["k", "x", "m"], ["pos"])
+    assert got.columns == df.columns and got.dtypes == df.dtypes
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, first.values()))
+    assert sorted(map(str, map(tuple, dedup.last_per_key(df, "k", ["pos"]).collect()))) == sorted(map(str, last.values()))
+    # The key columns are not part of the row that is kept beside them, the order not twice.
+    struct = next(line for line in plan_of(dedup.first_per_key(df, ["k", "m"], ["pos"])).splitlines() if "partial_min" in line)
+    assert struct.split("partial_min")[1].count("pos#") == 1 and "k#" not in struct.split("partial_min")[1]
+
+
+def test_clean_payments_take_one_deduplication(spark):
+    names = ["payment_id", "loan_id", "amount", "payment_timestamp", "payment_method_type", "payment_method_last_four",
+             "payment_method_bank", "metadata_source", "metadata_user_agent"]
+    keyed = [("P1", "1.5", "2024-01-01"), ("P1", "1.50", "2024-01-01T00:00:00Z"), ("P1", "1.5", "2024-01-01"),
+             ("P2", "abc", "2024-01-01"), ("P2", "abc", "2024-01-01"), ("P3", None, None), (None, "1", "2024-01-01")]
+    rows = [(p, f"L{i}", a, t, "ach", None, None, None, None, "f", datetime(2024, 1, 2), i)
+            for i, (p, a, t) in reversed(list(enumerate(keyed)))]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)
+                                + ", _source_file string, _last_updated_ts timestamp, _pos int")
+    ledger = spark.createDataFrame([], "payment_id string, amount decimal(18,2), payment_timestamp timestamp")
+    batch = landing.clean_payment_batch(raw, ledger, datetime(2024, 1, 2), ["_pos"])
+    written = landing.clean_payment_batch(raw, ledger, datetime(2024, 1, 2), ["_pos"], lambda df: df.cache())
+    assert sorted(r["loan_id"] for r in batch.clean.collect()) == ["L0", "L5"]
+    assert sorted(r["loan_id"] for r in written.clean.collect()) == ["L0", "L5"]
+    assert sorted(r["loan_id"] for r in batch.errors.collect()) == ["L3", "L6"]
+    assert plan_of(batch.clean.select("*")).count("Exchange hashpartitioning") == 1
+
+
+def test_nearest_ids_evaluates_payments_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(text):
+        seen.add(1)
+        return text
+
+    marked = F.udf(mark, "string").asNondeterministic()
+    payments = spark.createDataFrame([(f"L{n}",) for n in (5, 5, 7, 20)], "loan_id string").select(
+        marked("loan_id").alias("loan_id"))
+    loans = spark.createDataFrame([("L3",), ("L7",), ("L9",)], "loan_id string")
+    got = {r["orphan_id"]: (r["closest_below"], r["closest_above"]) for r in diagnose.nearest_ids(payments, loans).collect()}
+    assert got == {"L5": (3, 7), "L20": (9, None)} and seen.value == 4
