@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import materialise
 
 # A partition id and a row number share one 64-bit id: 31 and 33 bits.
 ROW_BITS = 33
@@ -15,7 +15,7 @@ def dense_keys(df: DataFrame, order: list[str], start: DataFrame, name: str) ->
     """Number the rows start+1, start+2, ... by `order`, which must identify a row.
 
     Rows are range-partitioned and sorted, so each task numbers its own slice; what is
-    shared is one count per partition. The slice is checkpointed before the counts are
+    shared is one count per partition. The slices are written down before the counts are
     taken, because a recomputed range partitioning need not cut at the same places.
 
     `start` is a one-column, one-row DataFrame with the highest key already in use.
@@ -25,7 +25,7 @@ def dense_keys(df: DataFrame, order: list[str], start: DataFrame, name: str) ->
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
-    fixed = reliable_checkpoint(sorted_slices).withColumns({
+    fixed = materialise(sorted_slices, "slices").withColumns({
         "_slice": F.shiftright("_id", ROW_BITS),
         "_in_slice": F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1)),
     })

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import first_per_key
+
 LEDGER_KEY = ("payment_id", "amount", "payment_timestamp")
 
 
@@ -24,6 +26,21 @@ def not_yet_booked(incoming: DataFrame, ledger: DataFrame,
     return incoming.join(booked, same, "left_anti")
 
 
+def first_not_yet_booked(rows: DataFrame, ledger: DataFrame, order: list[str],
+                         keys: tuple[str, ...] = LEDGER_KEY) -> DataFrame:
+    """What `not_yet_booked` leaves of the first row of each composite key, in one shuffle.
+
+    The ledger's keys join the grouping of the rows and come first in it, so a booked key yields
+    its ledger row, which is dropped. All of the ledger's keys are shuffled, but the rows only once:
+    for batches that are not written down and not small beside the ledger.
+    """
+    booked = ledger.where(F.col(keys[0]).isNotNull()).select(
+        *[F.col(k).cast(t).alias(k) if k in keys else F.lit(None).cast(t).alias(k)
+          for k, t in ((f.name, f.dataType) for f in rows.schema)], F.lit(0).alias("_fresh"))
+    both = rows.withColumn("_fresh", F.lit(1)).unionByName(booked)
+    return first_per_key(both, list(keys), ["_fresh", *order]).where("_fresh = 1").drop("_fresh")
+
+
 def within_reach(ledger: DataFrame, incoming: DataFrame, column: str = "payment_timestamp") -> DataFrame:
     """The ledger rows whose `column`, a part of the key, lies between the incoming rows' smallest
     and largest, or is NULL: no other row can have an incoming row's key.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import batches, dedup, quality
 from ledgerlake.operators.keys import dense_keys, highest_key
-from ledgerlake.operators.ledger import allocate, loan_standing, not_yet_booked, within_reach
+from ledgerlake.operators.ledger import allocate, first_not_yet_booked, loan_standing, not_yet_booked, within_reach
 from ledgerlake.operators.neighbours import nearest_numbers
 from ledgerlake.operators.scd2 import scd2_changes
 from ledgerlake.plans import diagnose, landing
@@ -58,6 +58,14 @@ def test_dense_keys(spark):
     assert empty.count() == 0
 
 
+def test_dense_keys_write_columns(spark):
+    """The slices are a compressed table of columns, not rows as they lie in memory."""
+    df = spark.createDataFrame([(i, None) for i in range(50)], "o int, v string")
+    numbered = dense_keys(df, ["o"], highest_key(df, "o"), "sk")
+    assert "Scan parquet" in plan_of(numbered)
+    assert [r["sk"] for r in numbered.orderBy("o").collect()] == list(range(50, 100)) and numbered.columns == ["sk", "o", "v"]
+
+
 def test_nearest_numbers(spark):
     random.seed(3)
     known = sorted(random.sample(range(10_000), 60)) + [40_000]
@@ -100,6 +108,40 @@ def test_ledger_null_keys(spark):
     assert got == {("P1", None), ("P3", t)}
 
 
+def test_first_not_yet_booked(spark):
+    """As deduplication and then the ledger's keys, with empty keys and repeats, in one shuffle."""
+    random.seed(5)
+    t = datetime(2024, 1, 1)
+
+    def keys():
+        return random.choice(["P1", "P2", "P3", None]), random.choice([1, 2, None]), random.choice([t, None])
+
+    rows = spark.createDataFrame([(*keys(), i, f"v{i}") for i in range(60)] + [("P9", 5, t, 60, None)] * 2,
+                                 "payment_id string, amount int, payment_timestamp timestamp, o int, v string")
+    rows = rows.withColumn("amount", F.col("amount").cast("decimal(18,2)")).repartition(4)
+    booked = spark.createDataFrame([keys() for _ in range(8)], "payment_id string, amount int, payment_timestamp timestamp")
+    booked = booked.withColumns({"amount": F.col("amount").cast("decimal(18,2)"), "sk": F.lit(1)})
+    got = first_not_yet_booked(rows, booked, ["o"])
+    assert plan_of(got).count("Exchange hashpartitioning") == 1
+    first = dedup.first_per_key(rows, ["payment_id", "amount", "payment_timestamp"], ["o"])
+    wanted = not_yet_booked(first, booked)
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect())) and got.schema == wanted.schema
+    assert first_not_yet_booked(rows.where("false"), booked, ["o"]).count() == 0
+
+
+def test_batch_meets_the_ledger_where_it_is_deduplicated(spark):
+    """With nothing written down, the batch is parsed and shuffled once for its new rows."""
+    from ledgerlake.settings import PAYMENT_FILE_COLUMNS
+
+    raw = spark.createDataFrame([(f"P{i}", "L1", "1.50", "2020-01-01", *["x"] * 5, "f", datetime(2024, 1, 1), i) for i in (1, 2, 2)],
+                                ", ".join(f"{n} string" for n in [*PAYMENT_FILE_COLUMNS, "_source_file"]) + ", _last_updated_ts timestamp, o int")
+    ledger = spark.createDataFrame([("P1", datetime(2020, 1, 1))], "payment_id string, payment_timestamp timestamp").withColumn(
+        "amount", F.lit("1.50").cast("decimal(18,2)"))
+    new = landing.clean_payment_batch(raw, ledger, datetime(2024, 1, 1), ["o"]).new_rows
+    assert plan_of(new).count("Exchange hashpartitioning") == 1
+    assert [r["payment_id"] for r in new.collect()] == ["P2"]
+
+
 def test_ledger_within_reach(spark, tmp_path):
     """Row groups of other times are skipped; NULL instants and the edges stay."""
     schema = "payment_id string, amount decimal(18,2), payment_timestamp timestamp"
