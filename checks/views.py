@@ -249,11 +249,12 @@ def payment_errors(spark: SparkSession, folder: str) -> DataFrame:
 class Landed:
     """The landed tables of one batch, each built once and written, as a batch run does it.
 
-    Queries on top of several landed tables read these; nothing is kept between queries.
+    Queries on top of several landed tables read these; nothing is kept between queries. A query
+    that reads rejected loans says so, as raw columns are written for those only.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, with_loan_errors: bool = False):
+        self.spark, self.folder, self.with_loan_errors = spark, folder, with_loan_errors
 
     @cached_property
     def raw_loans(self) -> DataFrame:
@@ -269,8 +270,12 @@ class Landed:
 
     @cached_property
     def lnd_loan(self) -> DataFrame:
-        clean = with_loan_hash(accepted(self._loans, ["_source_file", "_last_updated_ts"]))
-        return conform(open_rows(clean, BATCH_TS), LND_LOAN)
+        lineage = ["_source_file", "_last_updated_ts"]
+        if self.with_loan_errors:
+            clean = accepted(self._loans, lineage)
+        else:
+            clean = materialise(accepted(loans_classified(self.spark, self.folder), lineage), "loans")
+        return conform(open_rows(with_loan_hash(clean), BATCH_TS), LND_LOAN)
 
     @cached_property
     def loan_errors(self) -> DataFrame:
@@ -289,8 +294,13 @@ class Landed:
 
     @cached_property
     def ledger(self) -> DataFrame:
-        return materialise(conform(self._booked(*[c for c in LND_PAYMENT.names if c not in (
-            "lnd_payment_sk", "payment_allocation_status")]), LND_PAYMENT), "ledger")
+        return self.ledger_of(*[c for c in LND_PAYMENT.names if c not in (
+            "lnd_payment_sk", "payment_allocation_status")])
+
+    def ledger_of(self, *columns: str) -> DataFrame:
+        """The ledger, written with its key, loan, allocation and the `columns` that a query reads;
+        the others are NULL."""
+        return materialise(conform(self._booked(*columns), LND_PAYMENT), "ledger")
 
     def ledger_once(self, *columns: str) -> DataFrame:
         """The `columns` of the ledger for a query that reads it a single time: not written down,

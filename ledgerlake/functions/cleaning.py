@@ -24,18 +24,24 @@ def _complaint(what: str, raw: Column) -> Column:
     return F.concat(F.lit(f"{what}: "), quoted(raw))
 
 
+def _fixed(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """`df` plus parsed `values`, which no later filter evaluates again."""
+    return computed(df.withColumns(values), {name: F.col(name) for name in values})
+
+
 def classify_loans(raw: DataFrame) -> DataFrame:
     """Add `_clean` (struct of typed columns) and the rejection reason to raw loan rows.
 
     Rules in order: key, rate, term, principal, date. Accepted rows have no reason. Trimming,
-    parsing and judging are separate steps, so each text is trimmed and parsed once.
+    parsing and judging are separate steps, so each text is trimmed and parsed once. Only the parsed
+    values are kept apart from filters on the reason; columns that nobody reads are not made.
     """
     text = {c: clean_string(F.col(c)).alias(f"_t_{c}") for c in LOAN_FILE_COLUMNS}
     text["principal_amount"] = money_digits(clean_string(F.col("principal_amount"))).alias(
         "_t_principal_amount")
     trimmed = raw.select("*", *text.values())
     t = {c: F.col(f"_t_{c}") for c in LOAN_FILE_COLUMNS}
-    parsed = trimmed.withColumns({
+    parsed = _fixed(trimmed, {
         "_rate": parse_decimal(t["interest_rate"], "decimal(8,4)").value,
         "_term": parse_integer(t["term_months"]).value,
         "_principal": parse_money(t["principal_amount"]).value,
@@ -72,7 +78,7 @@ def classify_loans(raw: DataFrame) -> DataFrame:
         F.lower(t["status"]).alias("status"),
         t["borrower_info"].alias("borrower_info"),
     )
-    return computed(parsed, {REASON: reason, "_clean": typed}, keep=raw.columns)
+    return parsed.select(*raw.columns, reason.alias(REASON), typed.alias("_clean"))
 
 
 def classify_payments(raw: DataFrame) -> DataFrame:
@@ -80,7 +86,7 @@ def classify_payments(raw: DataFrame) -> DataFrame:
     trimmed = raw.select("*", *[clean_string(F.col(c)).alias(f"_t_{c}")
                                 for c in PAYMENT_FILE_COLUMNS])
     t = {c: F.col(f"_t_{c}") for c in PAYMENT_FILE_COLUMNS}
-    parsed = trimmed.withColumns({
+    parsed = _fixed(trimmed, {
         "_amount": parse_decimal(t["amount"], "decimal(18,2)").value,
         "_instant": parse_timestamp(t["payment_timestamp"]).value,
     })
@@ -104,7 +110,7 @@ def classify_payments(raw: DataFrame) -> DataFrame:
         F.lower(t["payment_method_type"]).alias("payment_method_type"),
         *[t[c].alias(c) for c in PAYMENT_FILE_COLUMNS[5:]],
     )
-    return computed(parsed, {REASON: reason, "_clean": typed}, keep=raw.columns)
+    return parsed.select(*raw.columns, reason.alias(REASON), typed.alias("_clean"))
 
 
 def accepted(classified: DataFrame, keep: list[str]) -> DataFrame:

@@ -15,8 +15,9 @@ WHITESPACE = (
 
 def strip(c: Column) -> Column:
     """Without surrounding whitespace. Text that begins and ends with a printable ASCII character
-    has none, and is passed on without a look at every character."""
-    bare = (c >= "!") & (c < "\x7f") & F.right(c, F.lit(1)).between("!", "~")
+    has none, and is passed on without a look at every character; its end is known by the last byte."""
+    last = F.substring(c.cast("binary"), -1, 1)
+    bare = (c >= "!") & (c < "\x7f") & last.between(F.lit(b"!"), F.lit(b"~"))
     return F.when(bare, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 

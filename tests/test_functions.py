@@ -179,3 +179,16 @@ def test_strip_at_both_ends(one):
     texts = ["", "a", "!", "~", "\x7f", "a b", "é", "é ", " é", "a\u3000", *[w + "a" for w in WHITESPACE],
              *["a" + w for w in WHITESPACE], *[w + "a b" + w for w in WHITESPACE], *WHITESPACE]
     assert one(strip, *texts) == [t.strip(WHITESPACE) for t in texts]
+
+
+def test_parsing_leaves_out_unread_columns(spark):
+    """The texts of columns that nobody reads are not trimmed, and each text is parsed once."""
+    from ledgerlake.functions.cleaning import accepted
+    from ledgerlake.settings import PAYMENT_FILE_COLUMNS
+
+    df = spark.createDataFrame([("P1", "L1", "1.50", "2020-01-01", *["x"] * 5)],
+                               ", ".join(f"{n} string" for n in PAYMENT_FILE_COLUMNS))
+    few = accepted(classify_payments(df), []).select("payment_id", "amount", "payment_timestamp")
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS _t_payment_id" in plan and "AS _t_metadata_user_agent" not in plan and "AS _t_loan_id" not in plan
+    assert plan.count("AS _amount#") <= 2 and [r["payment_id"] for r in few.collect()] == ["P1"]
