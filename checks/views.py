@@ -153,10 +153,11 @@ def lnd_loan(spark: SparkSession, folder: str) -> DataFrame:
     return conform(open_rows(loans_clean(spark, folder), BATCH_TS), LND_LOAN)
 
 
-def earlier_history(spark: SparkSession, folder: str) -> DataFrame:
+def earlier_history(spark: SparkSession, folder: str, clean: DataFrame | None = None) -> DataFrame:
     """The loan table as an earlier batch left it: loans originated before that day, every
-    eleventh of them with another status and principal. Undated loans were not in it."""
-    before = loans_clean(spark, folder).where(F.col("_day") < F.lit(EARLIER_TS.date()))
+    eleventh of them with another status and principal. Undated loans were not in it. `clean`
+    may hold the cleaned loans with their `_k` and `_day`, where they are written down."""
+    before = (loans_clean(spark, folder) if clean is None else clean).where(F.col("_day") < F.lit(EARLIER_TS.date()))
     differs = F.col("_k") % 11 == 0
     before = before.withColumns({
         "status": F.when(differs, F.lit("pending")).otherwise(F.col("status")),
