@@ -251,11 +251,14 @@ class Landed:
     """The landed tables of one batch, each built once and written, as a batch run does it.
 
     Queries on top of several landed tables read these; nothing is kept between queries. A query
-    that reads rejected loans says so, as raw columns are written for those only.
+    that reads rejected loans says so, as raw columns are written for those only; so does one that
+    reads the loans a single time, for which they are not written.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, with_loan_errors: bool = False):
+    def __init__(self, spark: SparkSession, folder: str, with_loan_errors: bool = False,
+                 loans_once: bool = False):
         self.spark, self.folder, self.with_loan_errors = spark, folder, with_loan_errors
+        self.loans_once = loans_once
 
     @cached_property
     def raw_loans(self) -> DataFrame:
@@ -272,6 +275,8 @@ class Landed:
     @cached_property
     def lnd_loan(self) -> DataFrame:
         lineage = ["_source_file", "_last_updated_ts"]
+        if self.loans_once:
+            return lnd_loan(self.spark, self.folder)
         if self.with_loan_errors:
             clean = accepted(self._loans, lineage)
         else:

@@ -299,3 +299,9 @@ def test_counters_of_narrow_judged_rows(spark):
     assert counters(keep=keep) == counters() == {
         "rows_in": 7, "rows_deduplicated": 6, "rows_rejected": 2, "rows_clean": 3, "rows_inserted": 2, "rows_split_settlement": 1}
     assert "min(" not in plans[0]
+
+
+def test_payment_counts_read_what_a_family_needs(spark):
+    ledger = spark.createDataFrame([("allocated",), ("allocated",), ("unidentified",)], "payment_allocation_status string")
+    row = quality.payment_counts(ledger, ("allocation",)).first().asDict()
+    assert row == {"all_rows": 3, "allocated": 2, "unallocated": 0, "loan_rejected": 0, "unidentified": 1}
