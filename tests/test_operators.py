@@ -13,7 +13,7 @@ from ledgerlake.operators.ledger import allocate, first_not_yet_booked, loan_sta
 from ledgerlake.operators.neighbours import nearest_numbers
 from ledgerlake.operators.scd2 import scd2_changes
 from ledgerlake.plans import diagnose, landing
-from ledgerlake.session import materialise_columns
+from ledgerlake.session import PARSING_SETTINGS, configure_parsing, materialise_columns
 
 
 def plan_of(df):
@@ -305,3 +305,17 @@ def test_payment_counts_read_what_a_family_needs(spark):
     ledger = spark.createDataFrame([("allocated",), ("allocated",), ("unidentified",)], "payment_allocation_status string")
     row = quality.payment_counts(ledger, ("allocation",)).first().asDict()
     assert row == {"all_rows": 3, "allocated": 2, "unallocated": 0, "loan_rejected": 0, "unidentified": 1}
+
+
+def test_shuffles_begin_with_many_partitions(spark):
+    """Few partitions asked for do not make large ones; more than that are left as they are."""
+    changed = [*PARSING_SETTINGS, "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for asked, given in (("4", "200"), ("500", "500")):
+            spark.conf.set("spark.sql.shuffle.partitions", asked)
+            configure_parsing(spark)
+            assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == given
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
