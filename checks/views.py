@@ -232,9 +232,9 @@ def payments_clean(spark: SparkSession, folder: str, columns: tuple[str, ...] |
     columns that order the rows.
 
     Verdict and typed key follow from the raw key, so dropping exact copies first would change
-    nothing and cost a shuffle of all rows.
+    nothing and cost a shuffle of all rows. Cleaning trims by itself; trimming twice changes nothing.
     """
-    raw = with_source(payments_raw(spark, folder), "payments.jsonl")
+    raw = with_source(payment_file(spark, folder), "payments.jsonl")
     clean = accepted(classify_payments(raw), ["_source_file", "_last_updated_ts", *PAYMENT_ORDER])
     if columns is not None:
         clean = clean.select(*dict.fromkeys([*LEDGER_KEY, *PAYMENT_ORDER, *columns]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,14 @@ REASON = "_rejection_reason"
 
 
 def _first_failure(prefix: Column, rules: list[tuple[Column, Column]]) -> Column:
+    """The message of the first broken rule, behind `prefix`; NULL when none is broken.
+
+    Whether it is NULL follows from the rules alone, so accepted rows need neither the message nor
+    the raw texts that it shows.
+    """
+    broken = reduce(lambda a, b: a | b, [bad for bad, _ in rules])
     failed = F.coalesce(*[F.when(bad, message) for bad, message in rules])
-    return F.concat(prefix, failed)
+    return F.when(broken, F.coalesce(F.concat(prefix, failed), F.lit("")))
 
 
 def _complaint(what: str, raw: Column) -> Column:
@@ -91,9 +99,11 @@ def classify_payments(raw: DataFrame) -> DataFrame:
         "_instant": parse_timestamp(t["payment_timestamp"]).value,
     })
     amount, instant = F.col("_amount"), F.col("_instant")
-    named = _first_failure(
-        F.concat(F.lit("payment_id="), F.col("payment_id"), F.lit(": ")),
+    reason = _first_failure(
+        F.when(t["payment_id"].isNull(), F.lit("")).otherwise(
+            F.concat(F.lit("payment_id="), F.col("payment_id"), F.lit(": "))),
         [
+            (t["payment_id"].isNull(), F.lit("payment_id is missing")),
             (t["amount"].isNotNull() & amount.isNull(),
              _complaint("amount is no number", F.col("amount"))),
             (amount < 0, _complaint("amount is below zero", F.col("amount"))),
@@ -101,7 +111,6 @@ def classify_payments(raw: DataFrame) -> DataFrame:
              _complaint("payment_timestamp is no instant", F.col("payment_timestamp"))),
         ],
     )
-    reason = F.when(t["payment_id"].isNull(), F.lit("payment_id is missing")).otherwise(named)
     typed = F.struct(
         t["payment_id"].alias("payment_id"),
         t["loan_id"].alias("loan_id"),

@@ -5,6 +5,8 @@ The text passed to the parsers must be trimmed already, with blank turned into N
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,27 +59,43 @@ INSTANT_NOTATIONS = (
 )
 
 
-def _first_shape(text: Column, cases: list[tuple[str, Column]]) -> Column:
+# So many notations, the usual ones, are looked for in generated code.
+USUAL = 4
+
+
+def _chosen(text: Column, cases: list[tuple[str, Column]]) -> Column:
     value = F.when(F.lit(False), cases[0][1])
     for shape, parsed in cases:
         value = value.when(text.rlike(shape), parsed)
     return value
 
 
+def _first_shape(text: Column, cases: Callable[[Column], list[tuple[str, Column]]]) -> Column:
+    """What the first shape that `text` has makes of it.
+
+    The unusual shapes are tried inside a `transform`, which Spark interprets: the code it would
+    generate for all of them is too large to be compiled, and all other columns would suffer.
+    """
+    unusual = F.transform(F.array(text), lambda t: _chosen(t, cases(t)[USUAL:]))
+    usual = _chosen(text, cases(text)[:USUAL])
+    return usual.when(text.isNotNull(), F.get(unusual, F.lit(0)))
+
+
 def parse_date(text: Column) -> Parsed:
     """DATE from text. The shape picks the format, so one value is parsed once or twice."""
     text = F.when(text.contains("ept"), F.regexp_replace(text, r"(?i)\bsept\b", "Sep")).otherwise(text)
 
-    def day(formats: tuple[str, ...]) -> Column:
+    def day(text: Column, formats: tuple[str, ...]) -> Column:
         found = F.coalesce(*[F.try_to_date(text, f) for f in formats])
         short = not any("yyyy" in f for f in formats)
         return F.when(F.year(found) > LAST_SHORT_YEAR, F.add_months(found, -1200)).otherwise(found) if short else found
 
-    cases = [(shape, day(formats)) for shape, formats in DATE_NOTATIONS]
-    # The whole text must be an instant; its own day counts, whatever its zone.
-    instant = parse_timestamp(text).value
-    cases.append((ISO_DATE_WITH_TIME, F.when(
-        instant.isNotNull(), F.substring(text, 1, 10).try_cast("date"))))
+    def cases(text: Column) -> list[tuple[str, Column]]:
+        # The whole text must be an instant; its own day counts, whatever its zone.
+        instant = parse_timestamp(text).value
+        return [*[(shape, day(text, formats)) for shape, formats in DATE_NOTATIONS],
+                (ISO_DATE_WITH_TIME, F.when(instant.isNotNull(), F.substring(text, 1, 10).try_cast("date")))]
+
     value = _first_shape(text, cases)
     return Parsed(value, text.isNotNull() & value.isNull())
 
@@ -85,9 +103,8 @@ def parse_date(text: Column) -> Parsed:
 def parse_timestamp(text: Column) -> Parsed:
     """Instant from ISO-8601 text; text without a zone is taken as UTC."""
     dotted = F.replace(text, F.lit(","), F.lit("."))
-    value = _first_shape(dotted, [
-        (shape, (dotted if full == "$0" else F.regexp_replace(dotted, shape, full))
-         .try_cast("timestamp"))
+    value = _first_shape(dotted, lambda t: [
+        (shape, (t if full == "$0" else F.regexp_replace(t, shape, full)).try_cast("timestamp"))
         for shape, full in INSTANT_NOTATIONS
     ])
     return Parsed(value, text.isNotNull() & value.isNull())

@@ -1,5 +1,6 @@
 """Column expressions on single values."""
 
+import re
 from datetime import date
 from decimal import Decimal as D
 
@@ -8,12 +9,13 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import finance
 from ledgerlake.functions.borrower import with_borrower
-from ledgerlake.functions.cleaning import classify_payments
+from ledgerlake.functions.cleaning import accepted, classify_payments
 from ledgerlake.functions.dates import parse_date, parse_timestamp
 from ledgerlake.functions.numbers import (
     money_digits, parse_decimal, parse_integer, parse_money, rounded,
 )
 from ledgerlake.functions.text import clean_string, normalise_category
+from ledgerlake.settings import PAYMENT_FILE_COLUMNS
 
 BAD = "bad"
 
@@ -192,3 +194,20 @@ def test_parsing_leaves_out_unread_columns(spark):
     plan = few._jdf.queryExecution().optimizedPlan().toString()
     assert "AS _t_payment_id" in plan and "AS _t_metadata_user_agent" not in plan and "AS _t_loan_id" not in plan
     assert plan.count("AS _amount#") <= 2 and [r["payment_id"] for r in few.collect()] == ["P1"]
+
+
+def test_unusual_notations_stay_out_of_generated_code(spark, one):
+    """All notations give what they gave, but the code for most of them is not generated."""
+    got = one(lambda c: parse_timestamp(c).value.cast("string"), "2024-02-03T04:05:06+01:00", "20240203T040506+0130",
+              "2024-02-03 04:05", "2024-02-03T04:05:06,25Z", "2024", "2024-13", "soon", None)
+    assert got == ["2024-02-03 03:05:06", "2024-02-03 02:35:06", "2024-02-03 04:05:00", "2024-02-03 04:05:06.25",
+                   "2024-01-01 00:00:00", None, None, None]
+    days = one(lambda c: parse_date(c).value.cast("string"), "03-Feb-2024", "Sept 3, 2024", "13.2.2024", "1/2/76",
+               "2024-02-03T23:59:00-05:00", "30-2-2024", None)
+    assert days == ["2024-02-03", "2024-09-03", "2024-02-13", "1976-01-02", "2024-02-03", None, None]
+    raw = spark.range(3).select(F.col("id").alias("o"), *[F.concat(F.lit("x"), F.col("id").cast("string")).alias(c)
+                                                          for c in PAYMENT_FILE_COLUMNS])
+    typed = accepted(classify_payments(raw), ["o"])
+    code = typed._sc._jvm.PythonSQLUtils.explainString(typed._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000  # the JVM compiles no larger method

@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.cleaning import accepted, classify_payments
 from ledgerlake.operators import batches, dedup, quality
 from ledgerlake.operators.keys import dense_keys, highest_key
 from ledgerlake.operators.ledger import allocate, first_not_yet_booked, loan_standing, not_yet_booked, within_reach
@@ -260,7 +261,6 @@ def test_nearest_ids_evaluates_payments_once(spark):
     assert got == {"L5": (3, 7), "L20": (9, None)} and seen.value == 4
 
 
-
 def _raw_payments(spark, rows):
     from ledgerlake.settings import PAYMENT_FILE_COLUMNS
 
@@ -307,6 +307,16 @@ def test_payment_counts_read_what_a_family_needs(spark):
     assert row == {"all_rows": 3, "allocated": 2, "unallocated": 0, "loan_rejected": 0, "unidentified": 1}
 
 
+def test_accepted_rows_need_no_message(spark):
+    """Neither the messages nor the raw texts they show are made for rows that break no rule."""
+    raw = _raw_payments(spark, [("P1", "1.5", "2024-01-01"), ("P2", "x", "2024-01-01"), (None, "1", None), ("P3", "-1", None)])
+    judged = classify_payments(raw)
+    assert [r["payment_id"] for r in accepted(judged, []).collect()] == ["P1"]
+    assert "payment_id=" not in plan_of(accepted(judged, []))
+    assert [r["_rejection_reason"] for r in judged.orderBy("o").collect()] == [
+        None, "payment_id=P2: amount is no number: 'x'", "payment_id is missing", "payment_id=P3: amount is below zero: '-1'"]
+
+
 def test_shuffles_begin_with_many_partitions(spark):
     """Few partitions asked for do not make large ones; more than that are left as they are."""
     changed = [*PARSING_SETTINGS, "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
