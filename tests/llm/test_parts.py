@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -132,6 +133,35 @@ def test_any_passage_of_51_words_gives_an_equal_unit():
     assert all(len(x) == 0 for x in cutter.units(None)) and all(len(x) == 0 for x in cutter.units("few words"))
 
 
+def test_unit_bounds_never_cut_and_meeting_finds_every_pair():
+    rng = np.random.default_rng(9)
+    cutter, rows, sets = repeats.Cutter(), [], {}
+    base = [f"w{x}" for x in rng.integers(0, 25, 400)]
+    for _ in range(60):
+        text = " ".join(w if rng.random() < 0.99 else f"x{rng.integers(9)}" for w in base)
+        starts, ns, classes, k1, k2, k3, sizes, bits = cutter.units(text)
+        h = cutter.words(text)
+        for i in range(len(starts)):
+            members = shingles.shingle_set(h[starts[i]:starts[i] + ns[i]], 5)
+            sets[int(classes[i])] = members
+            assert sizes[i] == len(members)
+            rows += [(int(k), int(classes[i]), int(sizes[i]), int(bits[i])) for k in (k1[i], k2[i], k3[i])]
+    rows = sorted(set(rows))
+    by_key = {k: [r[1] for r in g] for k, g in itertools.groupby(rows, lambda r: r[0])}
+    want = {p for c in by_key.values() if len(c) <= tiling.PAIRED for p in itertools.combinations(c, 2)
+            if 100 * len(np.intersect1d(sets[p[0]], sets[p[1]])) >= 75 * len(np.union1d(sets[p[0]], sets[p[1]]))}
+    met = {p for c in by_key.values() for p in itertools.combinations(c, 2)}
+    for size in (7, 50, 10 ** 6):
+        parts = [rows[i:i + size] for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p, strict=True)], ["key", "class", "n", "bits"]) for p in parts]
+        out = [r for b in repeats._meeting(iter(batches)) for r in b.to_pylist()]
+        pairs = {(r["a"], r["b"]) for r in out if r["b"] is not None}
+        assert want <= pairs <= met
+        large = sorted((r["key"], r["a"]) for r in out if r["b"] is None)
+        assert large == sorted((k, c) for k, cs in by_key.items() if len(cs) > tiling.PAIRED for c in cs)
+    assert want and large
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no";</script></head><body>
 <nav><ul><li><a href="/">Home</a></ul></nav><div class="cookie-notice">We use cookies</div>
 <div id="wrap"><article class="post-12"><h1>Head &amp; tail</h1><p>First <b>par</b>t,&nbsp;one.<br>Next<p>Unclosed

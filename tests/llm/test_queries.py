@@ -2,6 +2,7 @@
 columns that clash with its own, against brute force or its SQL."""
 
 import math
+import os
 import uuid
 import zlib
 from collections import Counter
@@ -250,6 +251,30 @@ def test_every_word_of_a_shared_run_is_covered(spark):
     assert len(need) > 2000 and not need - covered
 
 
+def test_sets_are_made_of_likely_pairs_and_dropped(spark, monkeypatch):
+    """Texts that share a line of eight words here and there, and two near copies."""
+    rng = np.random.default_rng(6)
+    lines = [" ".join(f"c{n}x{i}" for i in range(8)) for n in range(30)]
+    rows = [(d, " ".join(x for j in range(20) for x in (lines[int(rng.integers(30))], *(f"o{d}x{j}y{i}" for i in range(12))))) for d in range(40)]
+    words = rows[0][1].split()
+    rows.append((99, " ".join(w if i % 97 else "other" for i, w in enumerate(words))))
+    made, kept, store = {}, [], repeats.store
+
+    def seen(df, name):
+        out = store(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        kept.extend(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(repeats, "store", seen)
+    got = repeats.repeated_passages(documents(spark, rows)).collect()
+    assert {r["id"] for r in got} == {0, 99}
+    assert 0 < sum(n for name, n in made.items() if name.endswith("-sets")) < 700
+    names = ("units-", "unit-classes-", "unit-pairs-", "pairs-sets-")
+    folders = [f.removeprefix("file:") for f in kept if any(f"/{n}" in f for n in names)]
+    assert folders and not any(os.path.exists(f) for f in folders)
+
+
 def test_mix_reaches_targets(spark):
     rows = [(i, " ".join(["w"] * (1 + i * 7 % 40)), f"s{i % 4}") for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
