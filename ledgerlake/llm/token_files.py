@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, DICTIONARY_BYTES = 400, 4000, 32768
 BLOCK_BYTES, BLOCK_DOCUMENTS = 1 << 20, 2000
 MEMO_BYTES = 96 << 20
 ENCODER_BYTES = 2 * MEMO_BYTES + (40 << 20)
+BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), *[(c, pa.list_(pa.int64())) for c in (
+    "doc_ids", "n_tokens", "starts", "offsets")], ("dictionary", pa.string()), ("width", pa.int32()), ("payload", pa.binary())])
 BLOCK_SCHEMA = ("part int, block int, doc_ids array<long>, n_tokens array<long>, "
                 "starts array<long>, offsets array<long>, dictionary string, width int, "
                 "payload binary")
@@ -124,9 +127,11 @@ class Encoder(dict):
             return self.whole(text) + self.end
         runs = ("\n" + text).replace("\n", " \n").split(" ")
         values = list(map(self.__getitem__, runs[1:]))
-        if None in values:
+        try:
+            ids = b"".join(values)
+        except TypeError:  # a run without a value; looking for one first would compare every run
             return self.whole(text) + self.end
-        return b"".join(values)[self.width:] + self.end  # without the line feed put in front
+        return ids[self.width:] + self.end  # without the line feed put in front
 
 
 def trained_dictionary(samples: list[bytes]) -> bytes:
@@ -167,24 +172,23 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     spark.createDataFrame([(sha, dictionary)], "sha256 string, bytes binary") \
         .coalesce(1).write.parquet(f"{folder}/dictionary")
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_process(("encoder", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id), ENCODER_BYTES)
         compressor, _ = _codec(dictionary)
         part, block, tokens, size = TaskContext.get().partitionId(), 0, 0, 0
         documents: list[tuple] = []
         frames: list[bytes] = []
 
-        def row() -> pd.DataFrame:
+        def row() -> pa.RecordBatch:
             ids, counts, starts, offsets = map(list, zip(*documents, strict=True))
-            return pd.DataFrame({
-                "part": [part], "block": [block], "doc_ids": [ids], "n_tokens": [counts],
-                "starts": [starts], "offsets": [offsets], "dictionary": [sha],
-                "width": [encoder.width], "payload": [b"".join(frames)]})
+            values = part, block, ids, counts, starts, offsets, sha, encoder.width, b"".join(frames)
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, BLOCK, strict=True)], schema=BLOCK)
 
         for batch in batches:
-            for doc_id, data in zip(batch["id"], map(encoder.encode, batch["text"]), strict=True):
+            ids, texts = (c.to_pylist() for c in batch.columns)
+            for doc_id, data in zip(ids, map(encoder.encode, texts), strict=True):
                 frame, count = compressor.compress(data), len(data) // encoder.width
-                documents.append((None if doc_id == "" else int(doc_id), count, tokens, size))
+                documents.append((doc_id, count, tokens, size))
                 frames.append(frame)
                 tokens, size = tokens + count, size + len(frame)
                 if size >= BLOCK_BYTES or len(frames) >= BLOCK_DOCUMENTS:
@@ -196,8 +200,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     # The random second key spreads rows that agree in all else over several tasks.
     ordered = (rows.withColumn("spread", F.rand(7)).repartitionByRange("id", "tie", "spread")
                .sortWithinPartitions("id", "tie", "spread")
-               .select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "text"))
-    (ordered.mapInPandas(blocks, BLOCK_SCHEMA)
+               .select("id", "text"))
+    (ordered.mapInArrow(blocks, BLOCK_SCHEMA)
      .write.option("compression", "uncompressed").parquet(f"{folder}/blocks"))
 
     written = spark.read.parquet(f"{folder}/blocks")
@@ -228,22 +232,23 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True) -> Data
     the digests are wanted. The index has the rest."""
     dictionary, sha = _dictionary(spark, folder)
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decompressor = _codec(dictionary)
         for batch in batches:
-            for b in batch.itertuples(index=False):
-                if b.dictionary != sha:
-                    raise ValueError(f"block {b.part}/{b.block} needs dictionary {b.dictionary}")
-                ends = [*b.offsets[1:], len(b.payload)]
-                ids = [np.frombuffer(decompressor.decompress(b.payload[o:e]), f"<u{b.width}")
-                       .astype("<u4").tobytes() for o, e in zip(b.offsets, ends, strict=True)]
-                made = pd.DataFrame({"part": b.part, "block": b.block, "at": range(len(ids)),
-                                     "n_tokens": [len(x) // 4 for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids]})
-                yield made.assign(ids=ids) if with_ids else made
+            for part, block, offsets, needed, width, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if needed != sha:
+                    raise ValueError(f"block {part}/{block} needs dictionary {needed}")
+                ids = [np.frombuffer(decompressor.decompress(payload[o:e]), f"<u{width}").astype("<u4").tobytes()
+                       for o, e in zip(offsets, [*offsets[1:], len(payload)], strict=True)]
+                n = len(ids)
+                made = {"part": pa.array([part] * n, pa.int32()), "block": pa.array([block] * n, pa.int32()),
+                        "at": pa.array(range(n), pa.int32()), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64())}
+                yield pa.RecordBatch.from_pydict(made | ({"ids": pa.array(ids, pa.binary())} if with_ids else {}))
 
     blocks = spark.read.parquet(f"{folder}/blocks").select(
         "part", "block", "offsets", "dictionary", "width", "payload")
-    return blocks.mapInPandas(decode, "part int, block int, at int, n_tokens long, ids_crc32 long"
+    return blocks.mapInArrow(decode, "part int, block int, at int, n_tokens long, ids_crc32 long"
                               + ", ids binary" * with_ids)
 
 

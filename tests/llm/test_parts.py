@@ -45,6 +45,19 @@ def test_encoder_forgets_and_goes_on(encoder, monkeypatch):
         assert encoder.encode(text) == encoder.packed([*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2])
 
 
+def test_encoder_joins_runs_without_looking_at_each():
+    class Unread(bytes):
+        def __eq__(self, other):
+            raise AssertionError("compared")
+
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    text = "some plain words, and\nmore"
+    want = encoder.encode(text)
+    encoder.update({k: Unread(v) for k, v in encoder.items() if v is not None})
+    assert encoder.encode(text) == want
+    assert encoder.encode(text + "  x") == encoder.whole(text + "  x") + encoder.end  # a run without a value
+
+
 def test_lattice_of_any_length_and_script():
     """Against sums of logarithms, for words far beyond the range of plain products."""
     vocabulary = lattice.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
