@@ -13,7 +13,7 @@ import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from ledgerlake.llm import (components, decontaminate, jaccard_join, knn, language, licences, lm_score, mixing,  # noqa: E402
+from ledgerlake.llm import (common, components, decontaminate, jaccard_join, knn, language, licences, lm_score, mixing,  # noqa: E402
                             pages, repeats, tiling, token_files)
 from ledgerlake.llm.oracle import ORACLE  # noqa: E402
 from ledgerlake.llm.queries import REGISTRY  # noqa: E402
@@ -114,6 +114,43 @@ def test_jaccard_components(spark, monkeypatch, paired):
     assert kept.count() == empty + len({r for r, s in zip(root, sets, strict=True) if s})
 
 
+def test_near_copies_that_are_too_many_to_broadcast(spark, monkeypatch):
+    """Texts that are like no other take no part in a shuffle, and only what the result reads stays."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 3)
+    single = [(1000 + i, " ".join(f"z{i}x{j}" for j in range(30))) for i in range(300)]
+    near = [(i % 40, " ".join([*(f"y{i % 20}x{j}" for j in range(39)), "end" if i < 60 else f"e{i}"])) for i in range(80)]
+    rows = [*near, *single, (None, near[0][1]), (None, None), (5, None), (2000, "")]
+    docs, made, store, split = documents(spark, rows), [], jaccard_join.store, jaccard_join.split_by_filter
+    parts = []
+    monkeypatch.setattr(jaccard_join, "store", lambda df, name: made.append(store(df, name)) or made[-1])
+    monkeypatch.setattr(tiling, "store", lambda df, name: made.append(store(df, name)) or made[-1])
+    monkeypatch.setattr(jaccard_join, "split_by_filter", lambda *a: parts.append(split(*a)) or parts[-1])
+    got = jaccard_join.with_component(docs).collect()
+    sets, root = brute_components(rows)
+    least = {}
+    for (i, _), r in zip(rows, root, strict=True):
+        least[r] = i if r not in least or least[r] is None else (least[r] if i is None else min(least[r], i))
+    want = sorted((repr(i), len(s), repr(i if not s else least[r])) for (i, _), s, r in zip(rows, sets, root, strict=True))
+    assert sorted((repr(r["id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == want
+    left = {f.split("/")[-2].rsplit("-", 1)[0] for df in made for f in df.inputFiles() if os.path.exists(f.removeprefix("file:"))}
+    assert left <= {"placed-rows", "first-components", "components"}
+    kept = jaccard_join.one_of_each(docs)
+    first = {r: min((i is not None, i or 0) for (i, _), q in zip(rows, root, strict=True) if q == r) for r in set(root)}
+    keepers = {(repr(i), t) for (i, t), r in zip(rows, root, strict=True) if (i is not None, i or 0) == first[r]}
+    found = sorted((repr(r["doc_id"]), r["text"]) for r in kept.select("doc_id", "text").collect() if (r["text"] or "").strip())
+    assert len(found) == len({r for r, s in zip(root, sets, strict=True) if s}) and set(found) <= keepers
+    assert kept.where("coalesce(trim(text), '') = ''").count() == 3
+    assert len(parts) >= 2 and parts[-1][0].count() < 120
+
+
+def test_filter_splits_rows_without_loss(spark):
+    wanted = spark.range(0, 40_000, 2).selectExpr("if(id = 0, null, id) AS k")
+    rows = spark.range(60_000).selectExpr("if(id = 0, null, id) AS v", "id")
+    some, others = common.split_by_filter(rows, rows["v"], wanted, "k")
+    assert some.columns == others.columns == ["v", "id"] and some.count() + others.count() == 60_000
+    assert some.where("v IS NULL OR v % 2 = 0 AND v < 40000").count() == 20_000 and some.count() < 20_200
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(9)] + [(20, i) for i in range(21, 40)] + [(50, 50), (7, 3), (3, 7)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long"), "t").collect()}
