@@ -217,9 +217,12 @@ def payments_raw(spark: SparkSession, folder: str) -> DataFrame:
     return clean_strings(payment_file(spark, folder), PAYMENT_FILE_COLUMNS)
 
 
-def payments_first(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw batch without exact copies."""
+def payments_first(spark: SparkSession, folder: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """The raw batch without exact copies; with `columns` only those, the key and the columns that
+    order the rows."""
     raw = with_source(payments_raw(spark, folder), "payments.jsonl")
+    if columns is not None:
+        raw = raw.select(*dict.fromkeys([*LEDGER_KEY, *PAYMENT_ORDER, *columns]))
     return first_per_key(raw, ["payment_id", "amount", "payment_timestamp"], PAYMENT_ORDER)
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 
 Order = Column | list[str]
+# Rows without a key go to so many places of a join.
+SPREAD = 1000
 # Grouping keeps values of these types as they are; a -0.0 would come back as 0.0.
 KEPT_BY_GROUPING = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp",
                     "timestamp_ntz")
@@ -57,16 +59,19 @@ def first_per_key(df: DataFrame, keys: list[str], order: Order) -> DataFrame:
 def mark_repeats(df: DataFrame, key: str, order: Column, flag: str) -> DataFrame:
     """Flag every row of a key after its first one; rows without a key are never flagged.
 
-    The first position of each key is an aggregate. Joining it back on key *and* position
-    spreads the rows of a hot key, which a window over the key could not do.
+    The first position of each key is an aggregate, and only that of keys with several rows is joined
+    back, so most keys leave nothing to sort. Adaptive execution splits the rows of a hot key in the
+    join, which it could not do for a window over the key; rows without a key are spread over tasks.
+
+    The key that is joined on comes out of the aggregation: a filter on it stays above, and what `df`
+    shuffles serves both sides.
     """
-    rows = df.withColumn("_order", order)
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(order), F.lit(SPREAD))).otherwise(F.lit(0).cast("long"))
     firsts = (
-        rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("_order").alias("_order"))
-        .withColumn("_is_first", F.lit(True))
-    )
-    return (
-        rows.join(firsts, [key, "_order"], "left")
-        .withColumn(flag, F.col(key).isNotNull() & F.col("_is_first").isNull())
-        .select(*df.columns, flag)
+        df.groupBy(key).agg(F.max(key).alias("_key"), F.min(order).alias("_first"), F.count("*").alias("_rows"))
+        .where("_rows > 1").select("_key", "_first", F.when(F.col("_rows") < 0, F.col("_rows")).otherwise(0).alias("_spread"))
     )
+    rows = df.withColumn("_own_spread", spread)
+    marked = rows.join(firsts, (rows[key] == F.col("_key")) & (F.col("_own_spread") == F.col("_spread")), "left")
+    later = F.col(key).isNotNull() & (order.isNull() | (F.col("_first").isNotNull() & (order != F.col("_first"))))
+    return marked.withColumn(flag, later).select(*df.columns, flag)

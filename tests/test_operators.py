@@ -2,11 +2,13 @@
 
 import bisect
 import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import REGISTRY
 from ledgerlake.functions.cleaning import accepted, classify_payments
 from ledgerlake.operators import batches, dedup, quality
 from ledgerlake.operators.keys import dense_keys, highest_key
@@ -44,6 +46,34 @@ def test_dedup_on_hot_keys(hot):
     assert all(r["again"] == (r["k"] is not None and first[r["k"]] != r["pos"]) for r in flags)
 
 
+def test_marking_repeats_shuffles_its_input_once(spark):
+    """The input's own shuffle serves the first positions and the rows; odd keys and positions."""
+    rows = [("a", 2, 0.0), ("a", 1, -0.0), ("a", 1, 0.0), ("b", 1, float("nan")), ("b", 1, float("nan")), ("b", 1, None),
+            (None, 1, 0.0), (None, 2, 0.0), ("", 1, None), ("", 1, None), ("c", 5, 1.0)]
+    df = spark.createDataFrame(rows, "k string, p int, x double").repartition(3, "p")
+    marked = dedup.mark_repeats(df, "k", F.struct("p", "x"), "again")
+    got = Counter((r["k"], r["p"], str(abs(r["x"]) if r["x"] is not None else None), r["again"]) for r in marked.collect())
+    assert got == {("a", 2, "0.0", True): 1, ("a", 1, "0.0", False): 2, ("b", 1, "nan", True): 2, ("b", 1, "None", False): 1,
+                   (None, 1, "0.0", False): 1, (None, 2, "0.0", False): 1, ("", 1, "None", False): 2, ("c", 5, "1.0", False): 1}
+    df = spark.createDataFrame([("a", 3, 1.0), ("a", 1, 1.0), ("a", 2, 2.0), ("b", 1, 1.0)], "k string, p int, x double")
+    once = dedup.first_per_key(df, ["k", "x"], ["p"])
+    marked = dedup.mark_repeats(once, "k", F.struct("p"), "again")
+    assert sorted((r["k"], r["p"]) for r in marked.collect() if r["again"]) == [("a", 2)]
+    assert "ReusedExchange" in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_settlements_carry_only_what_they_return(spark, tmp_path):
+    """Columns of a payment that the query does not return are not shuffled with it."""
+    names = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, "
+             "l_discount double, l_linestatus string, l_shipdate timestamp_ntz")
+    rows = [(i // 3, i, i % 7, i % 3 + 1, 10.0 * i, 0.1 * (i % 2), "OF"[i % 2], datetime(2000, 1, 1 + i % 9)) for i in range(60)]
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = REGISTRY["split_settlement_rows"](spark.newSession(), str(tmp_path))
+    plan = plan_of(found)
+    assert "payment_method" not in plan and "loan_id" not in plan
+    assert found.count() > 60 and not found.where("is_split_settlement").isEmpty()
+
+
 def test_dedup_shrinks_before_the_shuffle(hot):
     plan = plan_of(dedup.first_per_key(hot, ["k"], F.struct("pos")))
     assert "partial_min_by" in plan and "Window" not in plan
